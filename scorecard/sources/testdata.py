@@ -6,6 +6,8 @@ transactions, customers as policies and contacts, events as contact attempts.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +30,17 @@ class TestdataSources(Sources):
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    def __init__(self, spark: SparkSession, folder: str, before: datetime | None = None) -> None:
+        """``before`` leaves out later orders: the state at an earlier load."""
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.before = before
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name == "orders" and self.before is not None:
+            df = df.where(F.col("o_orderdate") < timestamp_lit(self.before))
+        return df
 
     def table(self, name: str) -> DataFrame:
         for prefix, build in (("invites_", self._invites), ("responses_", self._responses)):
