@@ -36,15 +36,19 @@ class Tables:
     build, so a metric or view does not recompute the layers under it."""
 
     _written: dict[tuple, DataFrame] = {}
+    _sources: dict[tuple, TestdataSources] = {}
 
     def __init__(self, spark: SparkSession, folder: str, before: datetime | None = None) -> None:
         self.spark = configure(spark)
-        self.sources = TestdataSources(spark, folder, before)
         self.before = before
         self.folder = folder
+        self.key = (spark.sparkContext.applicationId, folder, before)
+        if self.key not in self._sources:
+            self._sources[self.key] = TestdataSources(spark, folder, before)
+        self.sources = self._sources[self.key]
 
     def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.folder, self.before, name)
+        key = (*self.key, name)
         if key not in self._written:
             self._written[key] = stage(make(), name)
         return self._written[key]
@@ -151,7 +155,7 @@ def _all_invites(t: Tables) -> DataFrame:
 def _all_answers(t: Tables) -> DataFrame:
     return _union(
         [
-            sv.typed_responses(t.sources.responses(k), k).withColumn("SurveyType", F.lit(k))
+            sv.typed_responses(t.sources.responses(k), k)
             for k in SURVEY_TYPES
         ]
     )
@@ -351,7 +355,8 @@ def queries() -> dict[str, Query]:
     q["survey_campaign"] = _on(
         lambda t: flat(
             sv.survey_campaign(
-                t.sources.invites("AGENT_CHANGE"), t.sources.responses("AGENT_CHANGE"), "AGENT_CHANGE"
+                sv.invited_policies(t.sources.invites("AGENT_CHANGE"), "AGENT_CHANGE"),
+                sv.typed_responses(t.sources.responses("AGENT_CHANGE"), "AGENT_CHANGE"),
             )
         )
     )

@@ -7,7 +7,6 @@ the previous version.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
@@ -27,7 +26,7 @@ from scorecard.operators.keys import (
 from scorecard.operators.upsert import insert_new, upsert
 from scorecard.plans.change_event import change_event_entity
 from scorecard.plans.policy import SPINE_FIELDS, policy_entity
-from scorecard.plans.survey import all_campaigns, all_responses, survey_entity
+from scorecard.plans.survey import FromWaves, all_campaigns, all_responses, survey_entity
 from scorecard.sources.tables import Sources
 
 LOOKBACK_MONTHS = 3
@@ -160,7 +159,7 @@ def load_change_events(
 # ---------------------------------------------------------------------- survey
 
 
-def lookback_waves(previous: DataFrame) -> Mapping[str, date | None]:
+def lookback_waves(previous: DataFrame) -> FromWaves:
     """First wave to recompute, by survey type: three months before the newest."""
     newest = (
         previous.groupBy(F.col("Survey.SurveyType").alias("t"))
@@ -170,9 +169,7 @@ def lookback_waves(previous: DataFrame) -> Mapping[str, date | None]:
     return {r["t"]: months_before(r["w"], LOOKBACK_MONTHS) for r in newest if r["w"] is not None}
 
 
-def survey_delta(
-    sources: Sources, from_waves: Mapping[str, date | None]
-) -> tuple[DataFrame, DataFrame]:
+def survey_delta(sources: Sources, from_waves: FromWaves) -> tuple[DataFrame, DataFrame]:
     """Recomputed waves and their responses."""
     return (
         survey_entity(all_campaigns(sources, from_waves)),

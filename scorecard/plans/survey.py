@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime, time
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,7 @@ from scorecard.functions.values import (
     month_start,
     null_of,
     safe_ratio,
+    timestamp_lit,
     try_number,
 )
 from scorecard.operators.nesting import (
@@ -73,7 +74,9 @@ RESPONSE_COLUMNS = {
 NUMERIC_DETAILS = {*(f"ProcessRating{i}" for i in range(1, 7)), "DaysWithoutAgent"}
 
 
-def typed_responses(responses: DataFrame, survey_type: str) -> DataFrame:
+def typed_responses(
+    responses: DataFrame, survey_type: str, from_day: date | None = None
+) -> DataFrame:
     """Responses in the common shape; a field the type lacks is a typed null."""
     columns = RESPONSE_COLUMNS[survey_type]
 
@@ -84,7 +87,11 @@ def typed_responses(responses: DataFrame, survey_type: str) -> DataFrame:
             return null_of(NUMBER if numeric else "string").alias(name)
         return (try_number(F.col(source)) if numeric else F.col(source)).alias(name)
 
+    if from_day is not None:
+        start = datetime.combine(from_day, time.min)
+        responses = responses.where(F.col("startdate") >= timestamp_lit(start))
     return responses.where(F.col("responseid").isNotNull()).select(
+        F.lit(survey_type).alias("SurveyType"),
         F.col(columns.policy).alias("PolicyNumber"),
         F.col("responseid").alias("ResponseId"),
         F.col("startdate").cast("timestamp_ntz").alias("ResponseDate"),
@@ -93,11 +100,14 @@ def typed_responses(responses: DataFrame, survey_type: str) -> DataFrame:
     )
 
 
-def invited_policies(invites: DataFrame, from_wave: date | None = None) -> DataFrame:
+def invited_policies(
+    invites: DataFrame, survey_type: str, from_wave: date | None = None
+) -> DataFrame:
     """Distinct (policy, wave): a policy invited twice in a month counts once."""
     if from_wave is not None:
         invites = invites.where(F.col("invite_pull_date") >= date_lit(from_wave))
     return invites.select(
+        F.lit(survey_type).alias("SurveyType"),
         F.col("policy_number").alias("PolicyNumber"),
         month_start(F.col("invite_pull_date")).alias("InviteWave"),
     ).distinct()
@@ -107,87 +117,70 @@ def survey_id() -> Column:
     return hash_id(natural_key(F.col("SurveyType"), date_text(F.col("InviteWave"))))
 
 
+def _response_month() -> Column:
+    """The wave of a response to a survey without invites."""
+    return month_start(F.col("ResponseDate").cast("date"))
+
+
 def survey_responses(
-    invites: DataFrame | None,
-    responses: DataFrame,
-    survey_type: str,
-    *,
-    from_wave: date | None = None,
-    hot: HotKeys | None = None,
+    invited: DataFrame | None, typed: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """Long form: one row per wave and response, keyed by the wave's ``ID``.
 
     A response counts in every wave that invited its policy, once per wave.
-    Without invites the wave is the month of the response.
+    Without invites the wave is the month of the response. Both inputs may hold
+    several survey types; they share one join.
 
     Responses are the side that can repeat a key without limit. A hot policy's
-    responses meet a broadcast of that policy's waves, at most one per month.
+    responses meet a broadcast of that policy's waves, at most one per type and
+    month.
     """
-    typed = typed_responses(responses, survey_type)
-    if invites is None:
-        waves = typed.withColumn("InviteWave", month_start(F.col("ResponseDate").cast("date")))
-        if from_wave is not None:
-            waves = waves.where(F.col("InviteWave") >= date_lit(from_wave))
+    if invited is None:
+        waves = typed.withColumn("InviteWave", _response_month())
     else:
-        invited = invited_policies(invites, from_wave)
-        if hot is None:
-            hot = find_hot_keys(typed, "PolicyNumber")
+        on = ["SurveyType", "PolicyNumber"]
         keyed = typed.where(F.col("PolicyNumber").isNotNull())
+        if hot is None:
+            hot = find_hot_keys(keyed, "PolicyNumber")
         if hot.shares:
             is_hot = hot.matches(F.col("PolicyNumber"))
-            waves = keyed.where(~is_hot).join(invited, "PolicyNumber").unionByName(
-                keyed.where(is_hot).join(
-                    F.broadcast(invited.where(is_hot)), "PolicyNumber"
-                )
+            few = F.broadcast(invited.where(is_hot))
+            waves = keyed.where(~is_hot).join(invited, on).unionByName(
+                keyed.where(is_hot).join(few, on)
             )
         else:
-            waves = keyed.join(invited, "PolicyNumber")
-    typed_waves = waves.withColumn("SurveyType", F.lit(survey_type))
-    return typed_waves.select(
-        survey_id().alias("ID"), "SurveyType", "InviteWave", *typed.columns
-    )
+            waves = keyed.join(invited, on)
+    return waves.select(survey_id().alias("ID"), "InviteWave", *typed.columns)
 
 
-def survey_campaign(
-    invites: DataFrame | None,
-    responses: DataFrame,
-    survey_type: str,
-    *,
-    from_wave: date | None = None,
-) -> DataFrame:
-    """Per wave: policies invited and responses received.
+def survey_campaign(invited: DataFrame | None, typed: DataFrame) -> DataFrame:
+    """Per type and wave: policies invited and responses received.
 
     Responses are counted per policy before they meet the invites, so no
     response row is repeated and a hot policy is one row by then.
     """
-    columns = RESPONSE_COLUMNS[survey_type]
-    received = responses.where(F.col("responseid").isNotNull())
-    if invites is None:
+    if invited is None:
         waves = (
-            received.select(month_start(F.col("startdate").cast("date")).alias("InviteWave"))
-            .groupBy("InviteWave")
+            typed.groupBy("SurveyType", _response_month().alias("InviteWave"))
             .agg(F.count(F.lit(1)).alias("ResponseCount"))
             .withColumn("InvitesSent", null_of("bigint"))
         )
-        if from_wave is not None:
-            waves = waves.where(F.col("InviteWave") >= date_lit(from_wave))
     else:
         per_policy = (
-            received.where(F.col(columns.policy).isNotNull())
-            .groupBy(F.col(columns.policy).alias("PolicyNumber"))
+            typed.where(F.col("PolicyNumber").isNotNull())
+            .groupBy("SurveyType", "PolicyNumber")
             .agg(F.count(F.lit(1)).alias("n"))
         )
         waves = (
-            invited_policies(invites, from_wave)
-            .join(per_policy, "PolicyNumber", "left")
-            .groupBy("InviteWave")
+            invited.join(per_policy, ["SurveyType", "PolicyNumber"], "left")
+            .groupBy("SurveyType", "InviteWave")
             .agg(
                 F.count("PolicyNumber").alias("InvitesSent"),
                 F.coalesce(F.sum("n"), F.lit(0)).alias("ResponseCount"),
             )
         )
     return waves.select(
-        F.lit(survey_type).alias("SurveyType"),
+        "SurveyType",
         "InviteWave",
         F.col("InvitesSent").cast("bigint").alias("InvitesSent"),
         F.col("ResponseCount").cast("bigint").alias("ResponseCount"),
@@ -251,33 +244,34 @@ def nest_responses(
     )
 
 
-def all_campaigns(
-    sources: Sources, from_waves: Mapping[str, date | None] | None = None
-) -> DataFrame:
-    """Campaigns of every survey type."""
+FromWaves = Mapping[str, date | None]
+
+
+def _inputs(
+    sources: Sources, from_waves: FromWaves | None
+) -> tuple[tuple[DataFrame, DataFrame], tuple[None, DataFrame]]:
+    """(invited, responses) of the types with invites, and of those without."""
     starts = from_waves or {}
-    return reduce(
-        DataFrame.unionByName,
-        [
-            survey_campaign(
-                sources.invites(t), sources.responses(t), t, from_wave=starts.get(t)
-            )
-            for t in SURVEY_TYPES
-        ],
+    with_invites = [t for t in SURVEY_TYPES if sources.invites(t) is not None]
+    without = [t for t in SURVEY_TYPES if t not in with_invites]
+    return (
+        (
+            union_all([invited_policies(sources.invites(t), t, starts.get(t)) for t in with_invites]),
+            union_all([typed_responses(sources.responses(t), t) for t in with_invites]),
+        ),
+        (None, union_all([typed_responses(sources.responses(t), t, starts.get(t)) for t in without])),
     )
 
 
-def all_responses(
-    sources: Sources, from_waves: Mapping[str, date | None] | None = None
-) -> DataFrame:
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def all_campaigns(sources: Sources, from_waves: FromWaves | None = None) -> DataFrame:
+    """Campaigns of every survey type."""
+    return union_all([survey_campaign(*pair) for pair in _inputs(sources, from_waves)])
+
+
+def all_responses(sources: Sources, from_waves: FromWaves | None = None) -> DataFrame:
     """Long responses of every survey type."""
-    starts = from_waves or {}
-    return reduce(
-        DataFrame.unionByName,
-        [
-            survey_responses(
-                sources.invites(t), sources.responses(t), t, from_wave=starts.get(t)
-            )
-            for t in SURVEY_TYPES
-        ],
-    )
+    return union_all([survey_responses(*pair) for pair in _inputs(sources, from_waves)])

@@ -100,11 +100,23 @@ def project(
 
 
 class Sources:
-    """One method per input table. Subclasses say where the rows come from."""
+    """One method per input table. Subclasses say where the rows come from.
 
-    def table(self, name: str) -> DataFrame:
+    A table is opened once per instance, so its files are listed once and every
+    plan of a run sees the same ones.
+    """
+
+    def __init__(self) -> None:
+        self._opened: dict[str, DataFrame] = {}
+
+    def load(self, name: str) -> DataFrame:
         raise NotImplementedError
 
+    def table(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self.load(name)
+        return self._opened[name]
+
     def policy_spine(self) -> DataFrame:
         return self.table("policy_spine")
 
@@ -149,6 +161,7 @@ class FileSources(Sources):
         columns: Mapping[str, Mapping[str, str]] | None = None,
         extra: Mapping[str, Iterable[str]] | None = None,
     ) -> None:
+        super().__init__()
         self.spark = spark
         self.root = root.rstrip("/")
         self.file_format = file_format
@@ -156,7 +169,7 @@ class FileSources(Sources):
         self.columns = dict(columns or {})
         self.extra = dict(extra or {})
 
-    def table(self, name: str) -> DataFrame:
+    def load(self, name: str) -> DataFrame:
         path = self.paths.get(name, f"{self.root}/{name}")
         reader = self.spark.read.format(self.file_format)
         if self.file_format == "csv":
@@ -170,9 +183,10 @@ class FrameSources(Sources):
     """Tables given as frames; used for tests and for filtered reruns."""
 
     def __init__(self, frames: Mapping[str, DataFrame]) -> None:
+        super().__init__()
         self.frames = dict(frames)
 
-    def table(self, name: str) -> DataFrame:
+    def load(self, name: str) -> DataFrame:
         return self.frames[name]
 
 

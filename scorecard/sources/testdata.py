@@ -32,17 +32,21 @@ class TestdataSources(Sources):
 
     def __init__(self, spark: SparkSession, folder: str, before: datetime | None = None) -> None:
         """``before`` leaves out later orders: the state at an earlier load."""
+        super().__init__()
+        self._files: dict[str, DataFrame] = {}
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.before = before
 
     def raw(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name == "orders" and self.before is not None:
-            df = df.where(F.col("o_orderdate") < timestamp_lit(self.before))
-        return df
-
-    def table(self, name: str) -> DataFrame:
+        if name not in self._files:
+            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            if name == "orders" and self.before is not None:
+                df = df.where(F.col("o_orderdate") < timestamp_lit(self.before))
+            self._files[name] = df
+        return self._files[name]
+
+    def load(self, name: str) -> DataFrame:
         for prefix, build in (("invites_", self._invites), ("responses_", self._responses)):
             if name.startswith(prefix):
                 return build(name.removeprefix(prefix).upper())
@@ -116,7 +120,7 @@ class TestdataSources(Sources):
             .distinct()
         )
         first_month = F.date_format("plcy_incept_dt", "yyyy-MM")
-        return months.join(self._policy_spine(), "plcy_cntrct_num").select(
+        return months.join(self.policy_spine(), "plcy_cntrct_num").select(
             F.col("plcy_cntrct_num").alias("ext_pol_sfx_concat_cd"),
             F.col("month").alias("snap_yr_mo_cd"),
             F.lower("bus_entity").alias("lob_nm"),

@@ -13,15 +13,25 @@ from scorecard.plans.survey import (
     survey_campaign,
     survey_entity,
     survey_responses,
+    invited_policies,
+    typed_responses,
 )
 from tests.frames import answer, entities, frame, invite, sources, spine
 
 T = "AGENT_CHANGE"
 
 
+def pair(s, survey_type=T):
+    invites = s.invites(survey_type)
+    return (
+        None if invites is None else invited_policies(invites, survey_type),
+        typed_responses(s.responses(survey_type), survey_type),
+    )
+
+
 def campaign(spark, invites, responses):
     s = sources(spark, invites_agent_change=invites, responses_agent_change=responses)
-    return survey_campaign(s.invites(T), s.responses(T), T).collect()
+    return survey_campaign(*pair(s)).collect()
 
 
 def test_invited_twice_with_one_response(spark):
@@ -52,8 +62,8 @@ def test_campaign_counts_equal_the_long_table(spark):
         invites_agent_change=[invite(f"P{i % 7}", f"2026-0{1 + i % 3}-05") for i in range(30)],
         responses_agent_change=[answer(f"R{i}", f"P{i % 9}", "5") for i in range(25)],
     )
-    counts = survey_campaign(s.invites(T), s.responses(T), T).select("InviteWave", "ResponseCount")
-    long = survey_responses(s.invites(T), s.responses(T), T)
+    counts = survey_campaign(*pair(s)).select("InviteWave", "ResponseCount")
+    long = survey_responses(*pair(s))
     recounted = long.groupBy("InviteWave").agg(F.count("*").alias("ResponseCount"))
     assert sorted(counts.collect()) == sorted(recounted.collect())
     assert long.select("InviteWave", "ResponseId").distinct().count() == long.count()
@@ -66,8 +76,8 @@ def test_a_hot_policy_keeps_every_response(spark):
         responses_agent_change=[answer(f"R{i}", "HOT", "5") for i in range(50)]
         + [answer("S", "P", "3"), answer("N", None, "3")],
     )
-    plain = survey_responses(s.invites(T), s.responses(T), T)
-    spread = survey_responses(s.invites(T), s.responses(T), T, hot=HotKeys({"HOT": 0.9}))
+    plain = survey_responses(*pair(s))
+    spread = survey_responses(*pair(s), hot=HotKeys({"HOT": 0.9}))
     assert spread.count() == 101
     assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
 
@@ -77,7 +87,7 @@ def test_types_without_invites_use_the_response_month(spark):
         spark,
         responses_css_ces=[answer("R1", "P", "7", "2026-03-09"), answer("R2", "Q", "x", "2026-03-10")],
     )
-    rows = survey_campaign(s.invites("CSS_CES"), s.responses("CSS_CES"), "CSS_CES").collect()
+    rows = survey_campaign(*pair(s, "CSS_CES")).collect()
     assert [tuple(r) for r in rows] == [("CSS_CES", date(2026, 3, 1), None, 2, None)]
     survey, responses = survey_entity(all_campaigns(s)), all_responses(s)
     scores = survey_metric(survey, responses, "CssCesAvgScore").collect()
@@ -140,8 +150,6 @@ def test_nested_responses(spark):
 
 
 def test_survey_schema_is_fixed(spark):
-    from scorecard.plans.survey import typed_responses
-
     shapes = {
         str(typed_responses(frame(spark, f"responses_{t.lower()}", []), t).schema)
         for t in ("AGENT_CHANGE", "RENEWAL", "CSS_CES")
