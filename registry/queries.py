@@ -75,7 +75,7 @@ class Tables:
         return self._once("events", self.new_events)
 
     def new_survey(self) -> DataFrame:
-        return sv.survey_entity(sv.all_campaigns(self.sources))
+        return sv.survey_entity(sv.all_campaigns(self.sources, None, self.responses()))
 
     def survey(self) -> DataFrame:
         return self._once("survey", self.new_survey)
@@ -241,12 +241,19 @@ def _survey_lookback(t: Tables) -> DataFrame:
 def _survey_lookback_responses(t: Tables) -> DataFrame:
     before = t.earlier()
     _, responses = inc.load_survey(before.survey(), before.responses(), t.sources)
-    return responses.groupBy("SurveyType", "InviteWave").agg(
-        F.count(F.lit(1)).alias("responses"),
-        F.sum(F.col("NpsScore").cast("bigint")).alias("score_sum"),
+    return sv.wave_measures(responses).select(
+        "SurveyType",
+        "InviteWave",
+        F.col("ResponseCount").alias("responses"),
+        F.col("ScoreSum").cast("bigint").alias("score_sum"),
     )
 
 
+def _responses_flat(responses: DataFrame) -> DataFrame:
+    waves = F.array_join(F.transform("InviteWaves", lambda w: w.cast("string")), ",")
+    return flat(responses.withColumn("InviteWaves", waves))
+
+
 def _policy_flat(policy: DataFrame) -> DataFrame:
     sized = policy.withColumn(
         "NumberOfSnapshots", F.size("Policy.MonthlySnapshots").cast("bigint")
@@ -351,13 +358,19 @@ def queries() -> dict[str, Query]:
     q["survey_lookback_responses"] = _on(_survey_lookback_responses)
 
     # Surveys.
-    q["survey_responses"] = _on(lambda t: flat(sv.all_responses(t.sources)))
+    q["survey_responses"] = _on(lambda t: _responses_flat(sv.all_responses(t.sources)))
+    q["survey_responses_by_wave"] = _on(
+        lambda t: sv.wave_measures(sv.all_responses(t.sources)).select(
+            "SurveyType",
+            "InviteWave",
+            F.col("ResponseCount").alias("responses"),
+            F.col("ScoreSum").cast("bigint").alias("score_sum"),
+            F.col("ScoreCount").alias("score_count"),
+        )
+    )
     q["survey_campaign"] = _on(
         lambda t: flat(
-            sv.survey_campaign(
-                sv.invited_policies(t.sources.invites("AGENT_CHANGE"), "AGENT_CHANGE"),
-                sv.typed_responses(t.sources.responses("AGENT_CHANGE"), "AGENT_CHANGE"),
-            )
+            sv.all_campaigns(t.sources).where(F.col("SurveyType") == "AGENT_CHANGE")
         )
     )
     q["survey_campaign_by_type"] = _on(lambda t: flat(sv.all_campaigns(t.sources)))

@@ -15,19 +15,22 @@ class ArrayTooLong(ValueError):
     """A group has more rows than one array value should hold."""
 
 
-def check_array_bound(
-    df: DataFrame, keys: Sequence[str], limit: int = MAX_ARRAY_ELEMENTS
-) -> None:
-    """Raise when a group is past ``limit``; counts combine before the shuffle."""
-    worst = (
-        df.groupBy(*keys).count().where(F.col("count") > limit).limit(1).collect()
-    )
+def check_group_sizes(sizes: DataFrame, limit: int = MAX_ARRAY_ELEMENTS) -> None:
+    """Raise when a row of ``sizes`` has a ``count`` past ``limit``."""
+    worst = sizes.where(F.col("count") > limit).limit(1).collect()
     if worst:
         raise ArrayTooLong(
             f"{worst[0].asDict()} is past {limit} elements; read the long table instead"
         )
 
 
+def check_array_bound(
+    df: DataFrame, keys: Sequence[str], limit: int = MAX_ARRAY_ELEMENTS
+) -> None:
+    """Raise when a group is past ``limit``; counts combine before the shuffle."""
+    check_group_sizes(df.groupBy(*keys).count(), limit)
+
+
 def ordered_array(order: Sequence[Column], payload: Column) -> Column:
     """Aggregate: payloads sorted by ``order`` (nulls last), then by content."""
     parts = []

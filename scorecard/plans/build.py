@@ -93,15 +93,21 @@ def _build_change_events(
 def _build_survey(
     store: TableStore, sources: Sources, incremental_run: bool
 ) -> tuple[DataFrame, DataFrame]:
-    if incremental_run:
-        survey, responses = incremental.load_survey(
-            store.read("SurveyRaw"), store.read("SurveyResponses"), sources
+    """Responses are matched to their waves once and stored; counts follow."""
+    if not incremental_run:
+        responses = store.replace("SurveyResponses", all_responses(sources))
+        return (
+            store.replace("SurveyRaw", survey_entity(all_campaigns(sources, None, responses))),
+            responses,
         )
-    else:
-        survey, responses = survey_entity(all_campaigns(sources)), all_responses(sources)
-    # Both are planned on the old versions before either is replaced.
-    responses = stage(responses, "survey-responses") if incremental_run else responses
-    return store.replace("SurveyRaw", survey), store.replace("SurveyResponses", responses)
+    previous, old_responses = store.read("SurveyRaw"), store.read("SurveyResponses")
+    starts = incremental.lookback_waves(previous)
+    fresh = stage(all_responses(sources, starts), "survey-responses")
+    waves = survey_entity(all_campaigns(sources, starts, fresh))
+    responses = store.replace(
+        "SurveyResponses", incremental.merge_responses(old_responses, fresh, starts)
+    )
+    return store.replace("SurveyRaw", upsert(previous, waves)), responses
 
 
 def _build_contact(

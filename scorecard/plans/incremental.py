@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorecard.functions.values import months_before
+from scorecard.functions.values import date_lit, months_before
 from scorecard.operators.keys import (
     BEGINNING,
     high_water_mark,
@@ -170,17 +170,43 @@ def lookback_waves(previous: DataFrame) -> FromWaves:
 
 
 def survey_delta(sources: Sources, from_waves: FromWaves) -> tuple[DataFrame, DataFrame]:
-    """Recomputed waves and their responses."""
+    """Recomputed waves, and the responses that count in them."""
+    responses = all_responses(sources, from_waves)
+    return survey_entity(all_campaigns(sources, from_waves, responses)), responses
+
+
+def merge_responses(
+    previous: DataFrame, fresh: DataFrame, from_waves: FromWaves
+) -> DataFrame:
+    """Each response keeps its waves from before the look-back and takes the
+    recomputed ones after it. A response left without a wave is dropped."""
+    on = ["SurveyType", "ResponseId"]
+    start = F.lit(None).cast("date")
+    for survey_type, day in from_waves.items():
+        start = F.when(F.col("SurveyType") == survey_type, date_lit(day)).otherwise(start)
+    kept = previous.withColumn("_start", start).withColumn(
+        "InviteWaves", F.filter("InviteWaves", lambda w: w < F.col("_start"))
+    )
+    fields = [c for c in previous.columns if c not in (*on, "InviteWaves")]
+    old = kept.select(*on, F.struct(*fields).alias("_old"), F.col("InviteWaves").alias("_before"))
+    new = fresh.select(*on, F.struct(*fields).alias("_new"), F.col("InviteWaves").alias("_after"))
+    none = F.array().cast("array<date>")
+    merged = old.join(new, on, "full").select(
+        *on,
+        F.coalesce("_new", "_old").alias("_row"),
+        F.concat(F.coalesce("_before", none), F.coalesce("_after", none)).alias("InviteWaves"),
+    )
     return (
-        survey_entity(all_campaigns(sources, from_waves)),
-        all_responses(sources, from_waves),
+        merged.where(F.size("InviteWaves") > 0)
+        .select(*on, "_row.*", "InviteWaves")
+        .select(*previous.columns)
     )
 
 
 def load_survey(
     previous: DataFrame, previous_responses: DataFrame, sources: Sources
 ) -> tuple[DataFrame, DataFrame]:
-    """The next version of the Survey entity and of its long responses."""
-    waves, responses = survey_delta(sources, lookback_waves(previous))
-    kept = without_keys(previous_responses, waves.select("ID"), "ID")
-    return upsert(previous, waves), kept.unionByName(responses)
+    """The next version of the Survey entity and of its responses."""
+    from_waves = lookback_waves(previous)
+    waves, fresh = survey_delta(sources, from_waves)
+    return upsert(previous, waves), merge_responses(previous_responses, fresh, from_waves)

@@ -25,6 +25,7 @@ from scorecard.functions.values import (
 )
 from scorecard.operators.skew import HotKeys, find_hot_keys, lookup_join
 from scorecard.plans.change_event import AGENT_CHANGE, ZIP_CHANGE
+from scorecard.plans.survey import survey_id, wave_measures
 
 # ---------------------------------------------------------------- event grain
 
@@ -270,12 +271,6 @@ def policy_metrics(
 # ---------------------------------------------------------------- survey grain
 
 
-def _share(answer: str, value: str) -> Column:
-    """Share equal to ``value``, letter case included, among non-null answers."""
-    c = F.col(answer)
-    return F.avg(F.when(c.isNotNull(), (c == value).cast("double")))
-
-
 SURVEY_TYPE_OF = {
     "AgentChangeAvgDaysWithoutAgent": "AGENT_CHANGE",
     "AgentChangeAvgNps": "AGENT_CHANGE",
@@ -289,40 +284,37 @@ SURVEY_TYPE_OF = {
 }
 SURVEY_METRICS = tuple(SURVEY_TYPE_OF)
 
-_WAVE_AGGREGATES: dict[str, Callable[[], Column]] = {
-    "_score": lambda: F.avg(F.col("NpsScore").cast("double")),
-    "_days": lambda: F.avg(F.col("DaysWithoutAgent").cast("double")),
-    "_meets": lambda: _share("MeetsNeedsFlag", "Y"),
-    "_no_letter": lambda: _share("ReceivedLetterFlag", "N"),
-}
-_WAVE_VALUE = {
-    "AgentChangeAvgDaysWithoutAgent": "_days",
-    "AgentChangeMeetsNeedsRate": "_meets",
-    "AgentChangeNoCommsRate": "_no_letter",
+# Measure averaged by each metric; the rest average the score.
+_WAVE_MEASURE = {
+    "AgentChangeAvgDaysWithoutAgent": "Days",
+    "AgentChangeMeetsNeedsRate": "MeetsNeeds",
+    "AgentChangeNoCommsRate": "NoLetter",
 }
 
 
 def survey_metrics(
     survey: DataFrame, responses: DataFrame, names: Sequence[str] = SURVEY_METRICS
 ) -> DataFrame:
-    """``[ID, metric...]``, one row per wave; null where the wave is of another type.
-
-    One aggregation of the long responses by wave, combined before the shuffle.
-    """
-    needed = {_WAVE_VALUE.get(n, "_score") for n in names if n != "AgentChangeResponseRate"}
+    """``[ID, metric...]``, one row per wave; null where the wave is of another type."""
     result = survey
-    if needed:
-        per_wave = responses.groupBy("ID").agg(
-            *[_WAVE_AGGREGATES[v]().alias(v) for v in sorted(needed)]
+    if set(names) != {"AgentChangeResponseRate"}:
+        totals = wave_measures(responses)
+        result = survey.join(
+            totals.select(
+                survey_id().alias("ID"),
+                *[c for c in totals.columns if c.endswith(("Sum", "Count")) and c != "ResponseCount"],
+            ),
+            "ID",
+            "left",
         )
-        result = survey.join(per_wave, "ID", "left")
 
     def value(name: str) -> Column:
-        source = (
-            F.col("Survey.ResponseRate")
-            if name == "AgentChangeResponseRate"
-            else F.col(_WAVE_VALUE.get(name, "_score"))
-        )
+        if name == "AgentChangeResponseRate":
+            source = F.col("Survey.ResponseRate")
+        else:
+            measure = _WAVE_MEASURE.get(name, "Score")
+            n = F.col(f"{measure}Count")
+            source = F.when(n > 0, F.col(f"{measure}Sum") / n)
         return F.when(F.col("Survey.SurveyType") == SURVEY_TYPE_OF[name], source).alias(name)
 
     return result.select("ID", *[value(n) for n in names])

@@ -1,8 +1,9 @@
 """The Survey entity: one row per survey type and invite month (a wave).
 
-Responses live in a long table, one row per wave and response, because one wave
-can hold a large part of all responses. Counts and metrics come from that
-table. The nested form is built on request for waves an array can hold.
+A response counts in every wave that invited its policy. Responses are kept one
+row each, with those waves as a short array (at most one per month), so no
+response is repeated per wave. Counts and metrics come from that table. Waves
+with their responses nested are built on request, where an array can hold them.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from scorecard.functions.values import (
 )
 from scorecard.operators.nesting import (
     MAX_ARRAY_ELEMENTS,
-    check_array_bound,
+    check_group_sizes,
     empty_if_null,
     ordered_array,
 )
@@ -125,59 +126,84 @@ def _response_month() -> Column:
 def survey_responses(
     invited: DataFrame | None, typed: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
-    """Long form: one row per wave and response, keyed by the wave's ``ID``.
+    """One row per response that belongs to a wave, with its ``InviteWaves``.
 
-    A response counts in every wave that invited its policy, once per wave.
     Without invites the wave is the month of the response. Both inputs may hold
-    several survey types; they share one join.
-
-    Responses are the side that can repeat a key without limit. A hot policy's
-    responses meet a broadcast of that policy's waves, at most one per type and
-    month.
+    several survey types; they share one join. A hot policy's responses meet a
+    broadcast of that policy's waves: one row per hot policy and type.
     """
     if invited is None:
-        waves = typed.withColumn("InviteWave", _response_month())
+        return typed.withColumn("InviteWaves", F.array(_response_month()))
+    on = ["SurveyType", "PolicyNumber"]
+    waves = invited.groupBy(*on).agg(
+        F.array_sort(F.collect_list("InviteWave")).alias("InviteWaves")
+    )
+    keyed = typed.where(F.col("PolicyNumber").isNotNull())
+    if hot is None:
+        hot = find_hot_keys(keyed, "PolicyNumber")
+    if hot.shares:
+        is_hot = hot.matches(F.col("PolicyNumber"))
+        few = F.broadcast(waves.where(is_hot))
+        joined = keyed.where(~is_hot).join(waves, on).unionByName(
+            keyed.where(is_hot).join(few, on)
+        )
     else:
-        on = ["SurveyType", "PolicyNumber"]
-        keyed = typed.where(F.col("PolicyNumber").isNotNull())
-        if hot is None:
-            hot = find_hot_keys(keyed, "PolicyNumber")
-        if hot.shares:
-            is_hot = hot.matches(F.col("PolicyNumber"))
-            few = F.broadcast(invited.where(is_hot))
-            waves = keyed.where(~is_hot).join(invited, on).unionByName(
-                keyed.where(is_hot).join(few, on)
-            )
-        else:
-            waves = keyed.join(invited, on)
-    return waves.select(survey_id().alias("ID"), "InviteWave", *typed.columns)
-
-
-def survey_campaign(invited: DataFrame | None, typed: DataFrame) -> DataFrame:
-    """Per type and wave: policies invited and responses received.
-
-    Responses are counted per policy before they meet the invites, so no
-    response row is repeated and a hot policy is one row by then.
+        joined = keyed.join(waves, on)
+    return joined.select(*typed.columns, "InviteWaves")
+
+
+def by_wave(responses: DataFrame) -> DataFrame:
+    """One row per wave and response, keyed by the wave's ``ID``."""
+    columns = [c for c in responses.columns if c != "InviteWaves"]
+    return responses.select(*columns, F.explode("InviteWaves").alias("InviteWave")).select(
+        survey_id().alias("ID"), "InviteWave", *columns
+    )
+
+
+def _sum_and_count(name: str, value: Column) -> list[Column]:
+    return [F.sum(value).alias(f"{name}Sum"), F.count(value).alias(f"{name}Count")]
+
+
+MEASURES = ("Score", "Days", "MeetsNeeds", "NoLetter")
+
+
+def _is(answer: str, value: str) -> Column:
+    """1.0 when equal, letter case included; null when unanswered."""
+    return (F.col(answer) == value).cast("double")
+
+
+def wave_measures(responses: DataFrame) -> DataFrame:
+    """Per type and wave: responses, and sum and count of each measure.
+
+    Responses are combined by their set of waves before the waves are spread
+    out, so a policy with many responses is one row by then.
     """
+    per_set = responses.groupBy("SurveyType", "InviteWaves").agg(
+        F.count(F.lit(1)).alias("ResponseCount"),
+        *_sum_and_count("Score", F.col("NpsScore").cast("double")),
+        *_sum_and_count("Days", F.col("DaysWithoutAgent").cast("double")),
+        *_sum_and_count("MeetsNeeds", _is("MeetsNeedsFlag", "Y")),
+        *_sum_and_count("NoLetter", _is("ReceivedLetterFlag", "N")),
+    )
+    totals = ["ResponseCount", *(f"{m}{part}" for m in MEASURES for part in ("Sum", "Count"))]
+    return (
+        per_set.withColumn("InviteWave", F.explode("InviteWaves"))
+        .groupBy("SurveyType", "InviteWave")
+        .agg(*[F.sum(c).alias(c) for c in totals])
+    )
+
+
+def survey_campaign(invited: DataFrame | None, responses: DataFrame) -> DataFrame:
+    """Per type and wave: policies invited and responses received."""
+    received = wave_measures(responses).select("SurveyType", "InviteWave", "ResponseCount")
     if invited is None:
-        waves = (
-            typed.groupBy("SurveyType", _response_month().alias("InviteWave"))
-            .agg(F.count(F.lit(1)).alias("ResponseCount"))
-            .withColumn("InvitesSent", null_of("bigint"))
-        )
+        waves = received.withColumn("InvitesSent", null_of("bigint"))
     else:
-        per_policy = (
-            typed.where(F.col("PolicyNumber").isNotNull())
-            .groupBy("SurveyType", "PolicyNumber")
-            .agg(F.count(F.lit(1)).alias("n"))
+        sent = invited.groupBy("SurveyType", "InviteWave").agg(
+            F.count("PolicyNumber").alias("InvitesSent")
         )
-        waves = (
-            invited.join(per_policy, ["SurveyType", "PolicyNumber"], "left")
-            .groupBy("SurveyType", "InviteWave")
-            .agg(
-                F.count("PolicyNumber").alias("InvitesSent"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("ResponseCount"),
-            )
+        waves = sent.join(received, ["SurveyType", "InviteWave"], "left").fillna(
+            0, ["ResponseCount"]
         )
     return waves.select(
         "SurveyType",
@@ -228,11 +254,16 @@ def nest_responses(
     """``[ID, Survey]`` with ``Responses`` as an array ordered by response date.
 
     Raises ``ArrayTooLong`` when a wave has more responses than an array should
-    hold; the long table has every response of every wave.
+    hold; the response table has every response of every wave.
     """
-    check_array_bound(responses, ["ID"], limit)
+    check_group_sizes(
+        wave_measures(responses).select(
+            "SurveyType", "InviteWave", F.col("ResponseCount").alias("count")
+        ),
+        limit,
+    )
     payload = response_struct()
-    arrays = responses.groupBy("ID").agg(
+    arrays = by_wave(responses).groupBy("ID").agg(
         ordered_array([F.col("ResponseDate"), F.col("ResponseId")], payload).alias("Responses")
     )
     array_type = arrays.schema["Responses"].dataType.simpleString()
@@ -267,11 +298,20 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def all_campaigns(sources: Sources, from_waves: FromWaves | None = None) -> DataFrame:
-    """Campaigns of every survey type."""
-    return union_all([survey_campaign(*pair) for pair in _inputs(sources, from_waves)])
-
-
 def all_responses(sources: Sources, from_waves: FromWaves | None = None) -> DataFrame:
-    """Long responses of every survey type."""
+    """Responses of every survey type with the waves they count in."""
     return union_all([survey_responses(*pair) for pair in _inputs(sources, from_waves)])
+
+
+def all_campaigns(
+    sources: Sources, from_waves: FromWaves | None = None, responses: DataFrame | None = None
+) -> DataFrame:
+    """Campaigns of every survey type; ``responses`` saves matching them again."""
+    (invited, with_invites), (_, without) = _inputs(sources, from_waves)
+    types = [t for t in SURVEY_TYPES if sources.invites(t) is not None]
+    if responses is None:
+        counted = survey_responses(invited, with_invites), survey_responses(None, without)
+    else:
+        has_invites = F.col("SurveyType").isin(types)
+        counted = responses.where(has_invites), responses.where(~has_invites)
+    return union_all([survey_campaign(invited, counted[0]), survey_campaign(None, counted[1])])

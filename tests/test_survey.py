@@ -9,6 +9,7 @@ from scorecard.plans.metrics import policy_metrics, survey_metric, survey_metric
 from scorecard.plans.survey import (
     all_campaigns,
     all_responses,
+    by_wave,
     nest_responses,
     survey_campaign,
     survey_entity,
@@ -31,7 +32,12 @@ def pair(s, survey_type=T):
 
 def campaign(spark, invites, responses):
     s = sources(spark, invites_agent_change=invites, responses_agent_change=responses)
-    return survey_campaign(*pair(s)).collect()
+    return campaigns(s).collect()
+
+
+def campaigns(s, survey_type=T):
+    invited, typed = pair(s, survey_type)
+    return survey_campaign(invited, survey_responses(invited, typed))
 
 
 def test_invited_twice_with_one_response(spark):
@@ -62,8 +68,8 @@ def test_campaign_counts_equal_the_long_table(spark):
         invites_agent_change=[invite(f"P{i % 7}", f"2026-0{1 + i % 3}-05") for i in range(30)],
         responses_agent_change=[answer(f"R{i}", f"P{i % 9}", "5") for i in range(25)],
     )
-    counts = survey_campaign(*pair(s)).select("InviteWave", "ResponseCount")
-    long = survey_responses(*pair(s))
+    counts = campaigns(s).select("InviteWave", "ResponseCount")
+    long = by_wave(survey_responses(*pair(s)))
     recounted = long.groupBy("InviteWave").agg(F.count("*").alias("ResponseCount"))
     assert sorted(counts.collect()) == sorted(recounted.collect())
     assert long.select("InviteWave", "ResponseId").distinct().count() == long.count()
@@ -78,7 +84,8 @@ def test_a_hot_policy_keeps_every_response(spark):
     )
     plain = survey_responses(*pair(s))
     spread = survey_responses(*pair(s), hot=HotKeys({"HOT": 0.9}))
-    assert spread.count() == 101
+    assert spread.count() == 51  # one row per response, not per wave
+    assert by_wave(spread).count() == 101
     assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
 
 
@@ -87,7 +94,7 @@ def test_types_without_invites_use_the_response_month(spark):
         spark,
         responses_css_ces=[answer("R1", "P", "7", "2026-03-09"), answer("R2", "Q", "x", "2026-03-10")],
     )
-    rows = survey_campaign(*pair(s, "CSS_CES")).collect()
+    rows = campaigns(s, "CSS_CES").collect()
     assert [tuple(r) for r in rows] == [("CSS_CES", date(2026, 3, 1), None, 2, None)]
     survey, responses = survey_entity(all_campaigns(s)), all_responses(s)
     scores = survey_metric(survey, responses, "CssCesAvgScore").collect()
