@@ -196,13 +196,11 @@ def _nested_contact_events(t: Tables) -> DataFrame:
 
 
 def _contact_entity(t: Tables) -> DataFrame:
-    entity = ct.contact_entity(t.sources.contacts())
-    nested = ct.nest_contact_events(entity, t.contact_events())
+    counts = t.contact_events().groupBy("ID").agg(F.count(F.lit(1)).alias("n"))
+    entity = ct.contact_entity(t.sources.contacts()).join(counts, "ID", "left")
     return flat(
-        nested.select(
-            "ID",
-            "Contact",
-            F.size("Contact.ContactEvents").cast("bigint").alias("NumberOfContactEvents"),
+        entity.select(
+            "ID", "Contact", F.coalesce("n", F.lit(0)).alias("NumberOfContactEvents")
         )
     )
 

@@ -9,6 +9,7 @@ from datetime import date, datetime, time
 from pyspark.sql import DataFrame, SparkSession
 
 from scorecard.operators import quality
+from scorecard.operators.keys import settled, without_keys
 from scorecard.operators.nesting import check_array_bound
 from scorecard.operators.staging import stage
 from scorecard.operators.upsert import upsert
@@ -57,11 +58,7 @@ def _build_policy(store: TableStore, sources: Sources, marks: incremental.Marks
         )
         return store.replace("PolicyRaw", entity)
     previous = store.read("PolicyRaw")
-    keys = stage(incremental.policy_changed_keys(previous, sources, marks), "policy-keys")
-    if keys.isEmpty():
-        return previous
-    delta = stage(incremental.policy_delta(sources, keys), "policy-delta")
-    return store.replace("PolicyRaw", upsert(previous, delta))
+    return store.replace("PolicyRaw", incremental.load_policy(previous, sources, marks))
 
 
 def _build_change_events(
@@ -77,13 +74,9 @@ def _build_change_events(
         store.replace("ChangeEventKeys", incremental.transaction_keys(sources))
         return events
     previous, seen = store.read("ChangeEventRaw"), store.read("ChangeEventKeys")
-    delta = stage(
-        incremental.change_event_delta(previous, sources, policy, seen, marks), "event-delta"
-    )
-    new_keys = stage(
-        incremental.without_keys(incremental.transaction_keys(sources), seen, incremental.KEY),
-        "event-keys",
-    )
+    keys = settled(incremental.event_changed_keys(sources, seen, marks), "event-keys")
+    delta = stage(incremental.change_event_delta(previous, sources, policy, keys), "event-delta")
+    new_keys = stage(without_keys(keys, seen, incremental.KEY), "new-keys")
     events = previous if delta.isEmpty() else store.append("ChangeEventRaw", delta)
     if not new_keys.isEmpty():
         store.append("ChangeEventKeys", new_keys)

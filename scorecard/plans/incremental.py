@@ -21,8 +21,10 @@ from scorecard.operators.keys import (
     key_set,
     newer_than,
     only_keys,
+    settled,
     without_keys,
 )
+from scorecard.operators.staging import stage
 from scorecard.operators.upsert import insert_new, upsert
 from scorecard.plans.change_event import change_event_entity
 from scorecard.plans.policy import SPINE_FIELDS, policy_entity
@@ -108,8 +110,8 @@ def policy_delta(sources: Sources, keys: DataFrame) -> DataFrame:
 
 def load_policy(previous: DataFrame, sources: Sources, marks: Marks) -> DataFrame:
     """The next version of the Policy entity."""
-    keys = policy_changed_keys(previous, sources, marks)
-    return upsert(previous, policy_delta(sources, keys))
+    keys = settled(policy_changed_keys(previous, sources, marks), "policy-keys")
+    return upsert(previous, stage(policy_delta(sources, keys), "policy-delta"), settle=True)
 
 
 # --------------------------------------------------------------- change events
@@ -122,27 +124,30 @@ def transaction_keys(sources: Sources) -> DataFrame:
 
 def event_changed_keys(sources: Sources, seen: DataFrame, marks: Marks) -> DataFrame:
     """Policies with transactions past the mark, or never seen by a load."""
-    transactions = sources.transactions()
-    fresh = newer_than(transactions, "src_trans_tmsp", marks.transactions).select(KEY)
-    return key_set(fresh, without_keys(transactions.select(KEY), seen, KEY))
+    fresh = newer_than(sources.transactions(), "src_trans_tmsp", marks.transactions).select(KEY)
+    return key_set(fresh, without_keys(transaction_keys(sources), seen, KEY))
 
 
 def change_event_delta(
-    previous: DataFrame,
-    sources: Sources,
-    policy: DataFrame,
-    seen: DataFrame,
-    marks: Marks,
+    previous: DataFrame, sources: Sources, policy: DataFrame, keys: DataFrame
 ) -> DataFrame:
-    """Events the target lacks, from the full history of changed policies."""
-    keys = event_changed_keys(sources, seen, marks)
+    """Events the target lacks, from the full history of the policies ``keys``.
+
+    Every side, the stored events too, is cut down to those policies first.
+    """
     candidates = change_event_entity(
         only_keys(sources.transactions(), keys, KEY),
-        sources.policy_spine(),
-        sources.policy_stats(),
-        policy,
+        only_keys(sources.policy_spine(), keys, KEY),
+        only_keys(sources.policy_stats(), keys, "plcy_num"),
+        of_policies(policy, "Policy.SystemIds.RtenPlcyCntrctNum", keys),
     )
-    return insert_new(previous, candidates)
+    stored = of_policies(previous, "ChangeEvent.Rten.PLCY_CNTRCT_NUM", keys)
+    return insert_new(stored, candidates)
+
+
+def of_policies(entity: DataFrame, number: str, keys: DataFrame) -> DataFrame:
+    """Entity rows whose nested policy number is in ``keys``."""
+    return only_keys(entity.withColumn(KEY, F.col(number)), keys, KEY).drop(KEY)
 
 
 def load_change_events(
@@ -153,7 +158,8 @@ def load_change_events(
     marks: Marks,
 ) -> DataFrame:
     """The next version of the ChangeEvent entity."""
-    return previous.unionByName(change_event_delta(previous, sources, policy, seen, marks))
+    keys = settled(event_changed_keys(sources, seen, marks), "event-keys")
+    return previous.unionByName(change_event_delta(previous, sources, policy, keys))
 
 
 # ---------------------------------------------------------------------- survey

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+from scorecard.operators.keys import only_keys, settled
 from scorecard.operators.upsert import insert_new, upsert
 from scorecard.plans import incremental as inc
 from scorecard.plans.survey import all_campaigns, all_responses, by_wave, survey_entity
@@ -88,13 +89,13 @@ def test_event_load_equals_a_rebuild(spark):
 
 def test_event_load_twice_changes_nothing(spark):
     new, policy, events = entities(spark, **AFTER)
-    again = inc.change_event_delta(
-        events, new, policy, inc.transaction_keys(new), inc.source_marks(new)
-    )
-    assert again.count() == 0
+    seen = inc.transaction_keys(new)
+    none = inc.event_changed_keys(new, seen, inc.source_marks(new))
+    assert none.count() == 0
     # Even with a stale mark the merge adds nothing.
-    stale = inc.change_event_delta(events, new, policy, inc.transaction_keys(new), inc.Marks())
-    assert stale.count() == 0
+    every = inc.event_changed_keys(new, seen, inc.Marks())
+    assert every.count() == 4
+    assert inc.change_event_delta(events, new, policy, every).count() == 0
 
 
 def test_survey_lookback_recomputes_recent_waves_only(spark):
@@ -134,6 +135,19 @@ def test_upsert_and_insert(spark):
     assert [tuple(r) for r in insert_new(target, delta).collect()] == [("c", 30)]
 
 
+def test_key_sets_are_broadcast_only_when_small(spark):
+    keys = spark.createDataFrame([("a",), ("b",)], "k string")
+    rows = spark.createDataFrame([("a", 1), ("c", 2)], "k string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for limit, join in ((2, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            kept = only_keys(rows, settled(keys, "t", limit), "k")
+            assert join in kept._jdf.queryExecution().executedPlan().toString()
+            assert [tuple(r) for r in kept.collect()] == [("a", 1)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_marks_of_empty_sources(spark):
     s = sources(spark)
     assert inc.source_marks(s) == inc.Marks()
