@@ -55,7 +55,7 @@ def timestamp_lit(ts: datetime) -> Column:
 
 def flag(condition: Column) -> Column:
     """1 when true, 0 when false or unknown."""
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
 
 def kept_from_start(inception: Column, cancellation: Column) -> Column:
@@ -75,4 +75,4 @@ def kept_after(event_date: Column, cancellation: Column) -> Column:
 def yes_no(answer: Column) -> Column:
     """Y is 1, N is 0, anything else null; letter case is ignored."""
     upper = F.upper(answer)
-    return F.when(upper == "Y", F.lit(1)).when(upper == "N", F.lit(0))
+    return F.when(upper == "Y", F.lit(1)).when(upper == "N", F.lit(0)).cast("bigint")

@@ -91,7 +91,7 @@ def tenure_days(as_of: date, stop_at_cancellation: bool = False) -> Column:
     end = date_lit(as_of)
     if stop_at_cancellation:
         end = F.coalesce(F.col("Policy.CancellationDate"), end)
-    return F.datediff(end, F.col("Policy.PolicyInceptionDate"))
+    return F.datediff(end, F.col("Policy.PolicyInceptionDate")).cast("bigint")
 
 
 def term_type() -> Column:
@@ -106,7 +106,7 @@ def number_of_policies_in_force() -> Column:
         F.col("Policy.MonthlySnapshots"),
         F.lit(0).cast("bigint"),
         lambda n, s: n
-        + flag(kept_from_start(s["InceptionDate"], s["CancellationDate"])).cast("bigint"),
+        + flag(kept_from_start(s["InceptionDate"], s["CancellationDate"])),
     )
 
 

@@ -29,6 +29,7 @@ def local_session(cpus: int | str = 8, memory: str = "8g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
     )
     spark = configure(builder.getOrCreate())
