@@ -31,7 +31,7 @@ def natural_key(*parts: Column) -> Column:
 def hash_id(key: Column) -> Column:
     """Base64 of the SHA-256 hex text: 88 characters.
 
-    Spark wraps base64 output at 76 characters, so line breaks are stripped.
+    Spark wraps base64 output at 76 characters, so the line break is removed.
     """
     encoded = F.base64(F.sha2(key.cast("string"), 256).cast("binary"))
-    return F.regexp_replace(encoded, r"[\r\n]", "")
+    return F.replace(encoded, F.lit("\r\n"), F.lit(""))
