@@ -305,6 +305,17 @@ def _dq_summary(t: Tables) -> DataFrame:
     return _union(rows)
 
 
+def _dq_sources(t: Tables) -> DataFrame:
+    return _union(
+        [
+            quality.column_tests(t.sources.table(name), key, required).withColumn(
+                "table_name", F.lit(name)
+            )
+            for name, (key, required) in quality.SOURCE_TESTS.items()
+        ]
+    )
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
@@ -431,6 +442,7 @@ def queries() -> dict[str, Query]:
 
     # Quality checks, on columns that do have failing rows.
     q["dq_summary"] = _on(_dq_summary)
+    q["dq_sources"] = _on(_dq_sources)
     q["dq_not_null"] = _on(lambda t: flat(quality.not_null(t.sources.transactions(), "src_sys_cd")))
     q["dq_unique"] = _on(lambda t: quality.unique(t.sources.transactions(), "plcy_cntrct_num"))
     q["dq_allowed_values"] = _on(

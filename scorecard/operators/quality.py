@@ -92,6 +92,56 @@ def summary(df: DataFrame, key: str, required: Sequence[str] = ()) -> DataFrame:
     )
 
 
+# Declared column tests of the input tables: unique key, columns that are never null.
+SOURCE_TESTS: dict[str, tuple[str | None, tuple[str, ...]]] = {
+    "policy_spine": ("plcy_cntrct_num", ("plcy_cntrct_num", "plcy_incept_dt")),
+    "transactions": (None, ("plcy_cntrct_num",)),
+    "policy_stats": (None, ("plcy_num",)),
+    "responses_agent_change": ("responseid", ("responseid",)),
+    "responses_new_business": ("responseid", ("responseid",)),
+    "responses_renewal": ("responseid", ("responseid",)),
+    "responses_rnps": ("responseid", ("responseid",)),
+    "responses_css_ces": ("responseid", ("responseid",)),
+    "contacts": ("id", ("id",)),
+    "phone_outcomes": ("id", ("id",)),
+}
+# The same for the built tables.
+TABLE_TESTS: dict[str, tuple[str | None, tuple[str, ...]]] = {
+    "PolicyRaw": ("ID", ("ID",)),
+    "ChangeEventRaw": ("ID", ("ID",)),
+    "SurveyRaw": ("ID", ("ID",)),
+    "ContactRaw": ("ID", ("ID",)),
+    "PolicyMetrics": ("ID", ("ID", "NumberOfZipChangeEvents", "NumberOfAgentChangeEvents")),
+    "ChangeEventMetrics": ("ID", ("ID",)),
+    "SurveyMetrics": ("ID", ("ID",)),
+}
+
+
+def column_tests(df: DataFrame, key: str | None, required: Sequence[str]) -> DataFrame:
+    """One row: ``n_rows``, ``duplicate_keys``, ``null_values`` over ``required``.
+
+    Without a key there is no shuffle of rows, only of per-task counts.
+    """
+    missing = [F.col(c).isNull().cast("bigint") for c in required]
+    nulls = missing[0]
+    for m in missing[1:]:
+        nulls = nulls + m
+    n, empty = F.count(F.lit(1)), F.lit(0).cast("bigint")
+    if key is None:
+        return df.agg(
+            n.alias("n_rows"),
+            empty.alias("duplicate_keys"),
+            F.coalesce(F.sum(nulls), empty).alias("null_values"),
+        )
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(n.alias("_n"), F.sum(nulls).alias("_nulls"))
+    repeated = (F.col("_key").isNotNull() & (F.col("_n") > 1)).cast("bigint")
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), empty).alias("n_rows"),
+        F.coalesce(F.sum(repeated), empty).alias("duplicate_keys"),
+        F.coalesce(F.sum("_nulls"), empty).alias("null_values"),
+    )
+
+
 def require_empty(failing: DataFrame, what: str) -> None:
     """Stop before a write when a guarding check has failing rows."""
     first = failing.limit(1).collect()

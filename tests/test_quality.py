@@ -11,6 +11,15 @@ def test_summary_counts_in_one_pass(spark):
     assert empty.asDict() == {"rows": 0, "duplicate_keys": 0, "null_keys": 0, "null_x": 0}
 
 
+def test_column_tests(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 2), (None, 3)], "ID string, x int")
+    keyed = q.column_tests(df, "ID", ["ID", "x"]).first().asDict()
+    assert keyed == {"n_rows": 4, "duplicate_keys": 1, "null_values": 3}
+    plain = q.column_tests(df, None, ["x"]).first().asDict()
+    assert plain == {"n_rows": 4, "duplicate_keys": 0, "null_values": 1}
+    assert q.column_tests(df.limit(0), "ID", ["ID"]).first()["n_rows"] == 0
+
+
 def test_column_checks(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,)], "c string")
     assert q.not_null(df, "c").count() == 2
