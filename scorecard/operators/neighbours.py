@@ -32,21 +32,34 @@ def with_neighbour(
     ahead: bool = False,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Add the previous (or next) row's values: ``columns`` maps new to source.
-
-    Ordinary keys use one window: one shuffle and one sort on the key. A hot
-    key's history is cut into order ranges first, so no task holds all of it.
-    """
+    """Add the previous (or next) row's values: ``columns`` maps new to source."""
     if hot is None:
         hot = find_hot_keys(df, key)
+    ordinary, spread = neighbour_parts(df, key, order, columns, hot, ahead=ahead)
+    return ordinary if spread is None else ordinary.unionByName(spread)
+
+
+def neighbour_parts(
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    columns: dict[str, str],
+    hot: HotKeys,
+    *,
+    ahead: bool = False,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ordinary keys, and those of hot keys if there are any.
+
+    Ordinary keys use one window: one shuffle and one sort, and the result stays
+    partitioned by the key for what follows. A hot key's history is cut into
+    order ranges first, so no task holds all of it.
+    """
     ordinary = df if not hot.any else df.where(~hot.matches(F.col(key)))
     w = Window.partitionBy(key).orderBy(*_ordering(order, ahead))
     result = ordinary.select(
         "*", *[F.lag(src).over(w).alias(new) for new, src in columns.items()]
     )
-    if not hot.any:
-        return result
-    return result.unionByName(_hot_neighbour(df, key, order, columns, ahead, hot))
+    return result, _hot_neighbour(df, key, order, columns, ahead, hot) if hot.any else None
 
 
 def _hot_neighbour(

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from scorecard.functions.keys import date_text, hash_id, natural_key, timestamp_text
 from scorecard.functions.values import month_text, null_of
-from scorecard.operators.neighbours import with_neighbour
-from scorecard.operators.skew import HotKeys, find_hot_keys, lookup_join
+from scorecard.operators.neighbours import neighbour_parts, with_neighbour
+from scorecard.operators.skew import HotKeys, find_hot_keys
 from scorecard.plans.policy import current_scd2
 
 # The two kinds of change event.
 ZIP_CHANGE = "ZIP_CHANGE"
 AGENT_CHANGE = "AGENT_CHANGE"
 
+KEY = "plcy_cntrct_num"
+
 CHANGE_EVENT_TYPE = (
     "struct<EventType: string, EffectiveDate: date, EventMonth: string, "
     "PreviousZipCode: string, ZipCode: string, PreviousAgentNumber: string, "
@@ -25,33 +27,34 @@ CHANGE_EVENT_TYPE = (
 )
 
 
-def ranked_transactions(transactions: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Transactions with the zip and agent of the one before, per policy.
+# Rows equal in date and timestamp are ordered by content, so results repeat.
+_HISTORY = (
+    "EffectiveDate",
+    "SourceTransactionTimestamp",
+    "SourceSystemCode",
+    "CurrentZip",
+    "CurrentAgentNumber",
+)
+_PREVIOUS = {"PreviousZip": "CurrentZip", "PreviousAgentNumber": "CurrentAgentNumber"}
 
-    Five-digit zip only. Both values come from one window. Rows equal in date
-    and timestamp are ordered by content, so the result is repeatable.
-    """
-    columns = transactions.select(
-        "plcy_cntrct_num",
+
+def _history(transactions: DataFrame) -> DataFrame:
+    return transactions.select(
+        KEY,
         F.col("eff_dt").alias("EffectiveDate"),
         F.col("src_trans_tmsp").alias("SourceTransactionTimestamp"),
         F.col("src_sys_cd").alias("SourceSystemCode"),
         F.col("resdc_zip_5_cd").alias("CurrentZip"),
         F.col("agt_of_recrd_num").alias("CurrentAgentNumber"),
     )
-    return with_neighbour(
-        columns,
-        "plcy_cntrct_num",
-        [
-            "EffectiveDate",
-            "SourceTransactionTimestamp",
-            "SourceSystemCode",
-            "CurrentZip",
-            "CurrentAgentNumber",
-        ],
-        {"PreviousZip": "CurrentZip", "PreviousAgentNumber": "CurrentAgentNumber"},
-        hot=hot,
-    )
+
+
+def ranked_transactions(transactions: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Transactions with the zip and agent of the one before, per policy.
+
+    Five-digit zip only. Both values come from one window.
+    """
+    return with_neighbour(_history(transactions), KEY, _HISTORY, _PREVIOUS, hot=hot)
 
 
 def _changed(current: str, previous: str) -> Column:
@@ -159,13 +162,33 @@ def change_event_entity(
     policy: DataFrame,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """``[ID, ChangeEvent]``, one row per event, with policy context."""
+    """``[ID, ChangeEvent]``, one row per event, with policy context.
+
+    Ordinary policies meet their context in the partitions of the window. Hot
+    policies meet a broadcast of their few context rows, one per hot policy.
+    """
     if hot is None:
-        hot = find_hot_keys(transactions, "plcy_cntrct_num")
-    events = all_change_events(ranked_transactions(transactions, hot))
-    joined = lookup_join(
-        events, policy_context(spine, policy_stats, policy), "plcy_cntrct_num", hot
+        hot = find_hot_keys(transactions, KEY)
+    ordinary, spread = neighbour_parts(_history(transactions), KEY, _HISTORY, _PREVIOUS, hot)
+    context = policy_context(spine, policy_stats, policy)
+    entity = _entity(all_change_events(ordinary).join(context, KEY, "left"))
+    if spread is None:
+        return entity
+
+    def of_hot(df: DataFrame, column: str) -> DataFrame:
+        return df.where(F.col(column).isin(list(hot.shares)))
+
+    few = policy_context(
+        of_hot(spine, KEY),
+        of_hot(policy_stats, "plcy_num"),
+        of_hot(policy, "Policy.SystemIds.RtenPlcyCntrctNum"),
+    )
+    return entity.unionByName(
+        _entity(all_change_events(spread).join(F.broadcast(few), KEY, "left"))
     )
+
+
+def _entity(joined: DataFrame) -> DataFrame:
     return joined.select(
         event_id().alias("ID"),
         F.struct(
