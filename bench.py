@@ -51,6 +51,14 @@ def timed(action) -> float:
     return round(time.perf_counter() - started, 3)
 
 
+def scale_of(folder: str) -> float | str:
+    name = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
@@ -76,7 +84,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+                "sf": scale_of(folder),
             }
         )
     )
