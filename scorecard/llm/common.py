@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorecard.operators.staging import stage
+
 # The six characters that separate words and are deleted by normalisation.
 WHITE = "\t\n\x0b\x0c\r "
 WHITE_BYTES = WHITE.encode()
@@ -49,6 +51,34 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def text_key() -> Column:
+    """A number for the whole text; with doc_id it names a row's content."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that ``verdicts`` (doc_id, text_key, kept) keeps, all columns.
+
+    Rows repeated with the same doc_id and text are one document: one row stays.
+    """
+    names = docs.columns
+    kept = verdicts.where("kept").groupBy("doc_id", "text_key").agg(
+        F.first("kept").alias("kept")
+    )
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    stays = docs.withColumn("_text_key", text_key()).join(kept, same, "left_semi")
+    repeated = verdicts.groupBy("doc_id", "text_key").count().where("count > 1")
+    repeated = stage(
+        repeated.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "repeated"
+    )
+    if repeated.isEmpty():
+        return stays.select(*names)
+    single = stays.join(repeated, same, "left_anti")
+    several = stays.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_text_key"])
+    return single.unionByName(several).select(*names)
+
+
 def replaced(text: Column, characters: str, by: str = "") -> Column:
     """Each of ``characters`` replaced; byte searches, far faster than translate."""
     for character in characters:

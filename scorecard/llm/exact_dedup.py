@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorecard.llm.common import WHITE_BYTES, map_rows, prepare, texts_of, without_white
+from scorecard.llm.common import WHITE_BYTES, keep_rows, map_rows, prepare, text_key, texts_of
 from scorecard.operators.staging import stage
 
 CHUNK_BYTES = 1 << 16
@@ -109,21 +109,22 @@ def _fingerprinter(moduli: tuple[int, ...]) -> Fingerprinter:
 
 
 def fingerprints(docs: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame:
-    """doc_id, n_chars, fp, fp_length and text_sha256 of every row."""
+    """doc_id, text_key, n_chars, fp, fp_length and text_sha256 of every row."""
 
-    def rows(ids, texts):
+    def rows(ids, keys, texts):
         hasher = _fingerprinter(moduli)
-        out = [[], [], [], [], []]
-        for doc_id, text in zip(ids, texts, strict=True):
+        out = [ids, keys, list(map(len, texts)), [], [], []]
+        for text in texts:
             data = normalised(text)
             whole = hasher.whole(data)
-            values = (doc_id, len(text), whole.key(), whole.length)
-            for column, value in zip(out, (*values, hashlib.sha256(data).hexdigest()), strict=True):
-                column.append(value)
+            out[3].append(whole.key())
+            out[4].append(whole.length)
+            out[5].append(hashlib.sha256(data).hexdigest())
         return out
 
-    schema = "doc_id long, n_chars long, fp string, fp_length long, text_sha256 string"
-    return map_rows(texts_of(docs), rows, schema)
+    keyed = texts_of(docs).select("doc_id", text_key().alias("text_key"), "text")
+    schema = "doc_id long, text_key long, n_chars long, fp string, fp_length long, text_sha256 string"
+    return map_rows(keyed, rows, schema)
 
 
 def _chunk_rows(docs: DataFrame, moduli: tuple[int, ...]) -> DataFrame:
@@ -180,7 +181,7 @@ def _collisions(docs: DataFrame, shared: DataFrame, moduli: tuple[int, ...]) ->
 
 
 def exact_groups(docs: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, n_chars."""
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, text_key."""
     prepare(docs.sparkSession)
     found = stage(fingerprints(docs, moduli), "fingerprints")
     key = ["fp", "fp_length"]
@@ -209,49 +210,20 @@ def exact_groups(docs: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame
         .alias("best_row"),
         "text_sha256",
         "n_chars",
+        "text_key",
     )
     # Rows that agree in everything are interchangeable: the first of them stays.
-    twins = Window.partitionBy("doc_id", "text_sha256", "n_chars").orderBy("best_row")
+    twins = Window.partitionBy("doc_id", "text_sha256", "n_chars").orderBy("text_key")
     return joined.withColumn("copy", F.row_number().over(twins)).select(
         "doc_id",
         "keep_id",
         "group_size",
         (F.col("best_row") & (F.col("copy") == 1)).alias("kept"),
         "text_sha256",
-        "n_chars",
+        "text_key",
     )
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     return keep_rows(docs, stage(exact_groups(docs), "exact-groups"))
-
-
-def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose verdict is ``kept``, one for each such verdict."""
-    kept = verdicts.where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_chars").alias("_n")
-    )
-    text = F.coalesce(F.col("text"), F.lit(""))
-    names = docs.columns
-    sha = F.sha2(without_white(text).cast("binary"), 256)
-    marked = docs.withColumns({"_row_sha": sha, "_row_n": F.length(text).cast("long")})
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (F.col("_row_sha") == F.col("_sha"))
-        & (F.col("_row_n") == F.col("_n"))
-    )
-    stays = marked.join(kept, same, "left_semi")
-    repeated = verdicts.groupBy("doc_id", "text_sha256", "n_chars").count().where("count > 1")
-    repeated = stage(repeated, "repeated-rows")
-    if repeated.isEmpty():
-        return stays.select(*names)
-    left = stays.alias("left")
-    on = (
-        F.col("left.doc_id").eqNullSafe(repeated["doc_id"])
-        & (F.col("left._row_sha") == repeated["text_sha256"])
-        & (F.col("left._row_n") == repeated["n_chars"])
-    )
-    single = left.join(repeated, on, "left_anti")
-    several = left.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "_row_sha", "_row_n"])
-    return single.unionByName(several).select(*names)

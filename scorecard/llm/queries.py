@@ -6,14 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorecard.llm import exact_dedup, quality_rules
+import public_tokenizers
+from scorecard.llm import exact_dedup, packing, quality_rules, secret_scan, simhash
 from scorecard.llm.common import prepare
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(_documents(spark, folder), BYTE_RANKS)
+
+
+def op3_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(_documents(spark, folder)).select(
+        "doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id"
+    )
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(_documents(spark, folder)).select(
         "doc_id",
@@ -33,7 +47,17 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = (op4_quality_rules, op8_exact_dedup)
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_documents(spark, folder), WORD_TOKENIZER)
+
+
+QUERIES = (
+    op1_secret_scan,
+    op3_simhash_dedup,
+    op4_quality_rules,
+    op8_exact_dedup,
+    op9_best_fit_packing,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
