@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorecard.llm import exact_dedup, quality_rules
+import public_tokenizers
+from scorecard.llm import exact_dedup, packing, quality_rules, secret_scan, simhash
 from scorecard.llm.common import prepare
 from scorecard.operators.staging import shared_dir
 
@@ -23,9 +24,30 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    prepare(spark)
+    return simhash.deduplicate(docs)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in them replaced."""
+    prepare(spark)
+    return secret_scan.redact(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in a training sequence."""
+    prepare(spark)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality rules", quality_stage),
     ("exact dedup", exact_stage),
+    ("SimHash near-dedup", near_stage),
+    ("secret scans", secret_stage),
+    ("best-fit packing", packing_stage),
 ]
 
 # Hashing, fingerprints and packing have no SQL form.
