@@ -7,9 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from scorecard.llm import exact_dedup, packing, quality_rules, secret_scan, simhash
+from scorecard.llm import (
+    exact_dedup,
+    packing,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_files,
+    trie_bpe,
+)
 from scorecard.llm.common import prepare
 
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -22,6 +31,12 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(_documents(spark, folder), BYTE_RANKS)
 
 
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    files = token_files.write_files(docs, token_files.new_folder(docs), BYTE_TOKENIZER)
+    return token_files.read_files(files)
+
+
 def op3_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(_documents(spark, folder)).select(
         "doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id"
@@ -51,12 +66,18 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_documents(spark, folder), WORD_TOKENIZER)
 
 
+def op10_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_bpe.digests(_documents(spark, folder), BYTE_TOKENIZER)
+
+
 QUERIES = (
     op1_secret_scan,
+    op2_token_files,
     op3_simhash_dedup,
     op4_quality_rules,
     op8_exact_dedup,
     op9_best_fit_packing,
+    op10_trie_bpe,
 )
 
 
