@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 from scorecard.llm import (
@@ -13,6 +14,7 @@ from scorecard.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    superkmers,
     token_files,
     trie_bpe,
 )
@@ -56,6 +58,12 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return superkmers.remove_repeats(_documents(spark, folder)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, folder)).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -75,6 +83,7 @@ QUERIES = (
     op2_token_files,
     op3_simhash_dedup,
     op4_quality_rules,
+    op5_substring_dedup,
     op8_exact_dedup,
     op9_best_fit_packing,
     op10_trie_bpe,
