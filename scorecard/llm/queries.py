@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from scorecard.llm import (
+    classifier,
     exact_dedup,
     packing,
     quality_rules,
@@ -64,6 +65,11 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    labels = prepare(spark).read.parquet(f"{folder}/labels.parquet")
+    return classifier.classify(_documents(spark, folder), labels)
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, folder)).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -84,6 +90,7 @@ QUERIES = (
     op3_simhash_dedup,
     op4_quality_rules,
     op5_substring_dedup,
+    op6_quality_classifier,
     op8_exact_dedup,
     op9_best_fit_packing,
     op10_trie_bpe,
