@@ -17,5 +17,52 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
 
+# The archive of ``pages`` as the query derives it: a response for each page, a
+# visit 129,600 seconds later, and the latest response before it by canonical URL.
+OP7 = r"""
+WITH bare AS (
+  SELECT page_id, html,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^https?://', '', 'i') AS u
+  FROM pages),
+parts AS (
+  SELECT page_id, html,
+         regexp_replace(regexp_replace(lower(regexp_extract(u, '^([^/?]*)', 1)),
+                        '^www\d*\.', ''), ':(80|443)$', '') AS host,
+         regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         array_to_string(list_sort(list_filter(
+             string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
+             lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|gclid|fbclid|ref)='))), '&') AS q
+  FROM bare),
+keyed AS (
+  SELECT page_id, host || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS url_key,
+         'response-' || page_id AS response_id, 1700000000 + page_id AS t0,
+         '"' || md5(coalesce(html, '')) || '"' AS tag, strlen(coalesce(html, '')) AS size
+  FROM parts),
+found AS (
+  SELECT v.page_id, v.url_key, v.t0, v.tag AS own_tag, r.*
+  FROM keyed v LEFT JOIN LATERAL (
+    SELECT k.response_id AS r_id, k.tag AS r_tag, k.t0 AS r_at, k.size AS r_size FROM keyed k
+    WHERE k.url_key = v.url_key AND k.t0 <= v.t0 + 129600
+    ORDER BY k.t0 DESC, k.response_id DESC LIMIT 1) r ON true),
+judged AS (
+  SELECT *, CASE
+    WHEN r_id IS NULL THEN 'no response'
+    WHEN page_id % 5 <> 0 THEN
+      CASE WHEN page_id % 7 <> 0 AND own_tag = r_tag THEN 'etag' ELSE 'mismatch' END
+    WHEN t0 = r_at THEN 'last-modified' ELSE 'mismatch' END AS outcome
+  FROM found)
+SELECT 'revisit-' || page_id AS record_id, url_key,
+       CASE WHEN outcome IN ('etag', 'last-modified') THEN r_id END AS refers_to, outcome,
+       CASE WHEN outcome IN ('etag', 'last-modified') THEN sha256(
+         'cache-control: max-age=60' || chr(10) || 'content-length: ' || r_size || chr(10)
+         || 'content-type: text/html; charset=utf-8' || chr(10)
+         || 'date: ' || strftime(to_timestamp(t0 + 129600) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') || chr(10)
+         || 'etag: ' || CASE WHEN page_id % 5 <> 0 THEN 'W/' || own_tag ELSE r_tag END || chr(10)
+         || 'last-modified: '
+         || strftime(to_timestamp(t0 - 3600) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ')) END AS headers_sha256
+FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8}
+    return {"op7_warc_revisits": OP7, "op8_exact_dedup": OP8}

@@ -13,6 +13,7 @@ from scorecard.llm import (
     exact_dedup,
     packing,
     quality_rules,
+    revisits,
     secret_scan,
     simhash,
     superkmers,
@@ -70,6 +71,18 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.classify(_documents(spark, folder), labels)
 
 
+def op7_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    pages = prepare(spark).read.parquet(f"{folder}/pages.parquet")
+    found = revisits.resolve(revisits.captures_of_pages(pages))
+    return found.select(
+        "record_id",
+        "url_key",
+        "refers_to",
+        "outcome",
+        F.sha2(revisits.listed(F.col("headers")), 256).alias("headers_sha256"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, folder)).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -91,6 +104,7 @@ QUERIES = (
     op4_quality_rules,
     op5_substring_dedup,
     op6_quality_classifier,
+    op7_warc_revisits,
     op8_exact_dedup,
     op9_best_fit_packing,
     op10_trie_bpe,
