@@ -46,7 +46,9 @@ RUN_PATTERN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RUN_CHARS)
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_CHARS = (32, 40, 48, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-NAMED_DIGEST = re.compile(r"(?i:md5|sha-?[0-9]{1,3}|crc32|etag|digest|checksum|uuid|guid)\W{0,4}$")
+DIGEST_NAME = r"(?i:md5|sha-?[0-9]{1,3}|crc32|etag|digest|checksum|uuid|guid)"
+NAMED_DIGEST = re.compile(DIGEST_NAME + r"\W{0,4}$")
+STARTS_WITH_NAME = re.compile(DIGEST_NAME + r"[-_=/+]")
 PLACEHOLDER = "[SECRET]"
 
 _ENCODINGS: dict[str, tiktoken.Encoding] = {}
@@ -97,7 +99,7 @@ def base_spans(text: str, words: list[tuple[int, str]]) -> list[tuple[int, int,
 
 def looks_known(run: str, before: str) -> bool:
     """Digests, UUIDs, numbers, and words of one case: not secrets by this test."""
-    if UUID.search(run) or NAMED_DIGEST.search(before):
+    if UUID.search(run) or NAMED_DIGEST.search(before) or STARTS_WITH_NAME.match(run):
         return True
     if len(run) in DIGEST_CHARS and DIGEST.fullmatch(run):
         return True
