@@ -19,7 +19,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
-MEMORY_WORDS = 150_000
+MEMORY_WORDS = 200_000
 
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 # The split patterns of the two tokenizer kinds, for Latin text.
@@ -88,6 +88,7 @@ class WordEncoder:
             self.kind = "whole"
         table = byte_characters()
         self.shown = {b: table[b] for b in range(256)}
+        self.pieces = Memory(self._piece, memory_words)
         self.first = Memory(self._encode, memory_words // 10)
         self.later = Memory(lambda w: self._encode(" " + w), memory_words)
 
@@ -102,11 +103,11 @@ class WordEncoder:
             pieces = BYTE_SPLIT.findall(word)
         else:
             pieces = WORD_SPLIT.findall(word.lower())
-        ids = array("I")
-        for piece in pieces:
-            shown = piece.encode().decode("latin-1").translate(self.shown)
-            ids.extend(t.id for t in self.model.tokenize(shown))
-        return ids.tobytes()
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
