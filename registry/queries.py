@@ -170,29 +170,47 @@ def _monthly_history(t: Tables) -> DataFrame:
 
 def _nested_responses(t: Tables) -> DataFrame:
     nested = sv.nest_responses(t.survey(), t.responses())
-    rows = nested.select("ID", F.posexplode("Survey.Responses").alias("pos", "r")).select(
-        "ID",
-        F.col("pos").cast("bigint").alias("pos"),
-        "r.ResponseId",
-        "r.NpsScore",
-        F.col("r.ProcessRatings.Rating6").alias("Rating6"),
-        F.col("r.AgentChangeDetails.DaysWithoutAgent").alias("DaysWithoutAgent"),
-        F.col("r.SystemIds.PolicyNumber").alias("PolicyNumber"),
+    rows = nested.select("ID", "Part", F.posexplode("Survey.Responses").alias("pos", "r"))
+    return flat(
+        rows.select(
+            "ID",
+            F.date_format("Part", "yyyy-MM-dd").alias("Part"),
+            F.col("pos").cast("bigint").alias("pos"),
+            *[f"r.{c}" for c in ("ResponseId", "ResponseDate", "NpsScore", "VerbatimText")],
+            "r.ProcessRatings.*",
+            "r.AgentChangeDetails.*",
+            "r.SystemIds.*",
+        )
     )
-    return flat(rows)
 
 
 def _nested_contact_events(t: Tables) -> DataFrame:
     nested = ct.nest_contact_events(ct.contact_entity(t.sources.contacts()), t.contact_events())
-    rows = nested.select("ID", F.posexplode("Contact.ContactEvents").alias("pos", "e")).select(
-        "ID",
-        F.col("pos").cast("bigint").alias("pos"),
-        "e.ContactEventId",
-        "e.ContactChannel",
-        "e.ContactTimestamp",
-        F.col("e.ContactSources.Drips").alias("Drips"),
-    )
-    return flat(rows)
+    rows = nested.select("ID", "Part", F.posexplode("Contact.ContactEvents").alias("pos", "e"))
+    day = F.date_format("Part", "yyyy-MM-dd").alias("Part")
+    return flat(rows.select("ID", day, F.col("pos").cast("bigint").alias("pos"), "e.*"))
+
+
+def _campaign_of_repeated_ids(t: Tables) -> DataFrame:
+    """Campaigns when every response is delivered twice, the older copy a day earlier."""
+    s = t.sources
+    frames = []
+    for kind in SURVEY_TYPES:
+        given = s.responses(kind)
+        older = given.withColumn("startdate", F.col("startdate") - F.expr("INTERVAL 1 DAY"))
+        typed = sv.typed_responses(given.unionByName(older).unionByName(given), kind)
+        invites = s.invites(kind)
+        invited = None if invites is None else sv.invited_policies(invites, kind)
+        frames.append(sv.survey_campaign(invited, sv.survey_responses(invited, typed)))
+    return flat(_union(frames))
+
+
+def _shared_contact_links(t: Tables) -> DataFrame:
+    """Events by contact when two contacts share every address."""
+    s = t.sources
+    twins = s.contacts().withColumn("id", F.concat(F.lit(" "), F.col("id")))
+    events = ct.all_contact_events(s.contact_performance(), s.phone_outcomes(), "email")
+    return flat(ct.contact_events_by_contact(s.contacts().unionByName(twins), events, "email"))
 
 
 def _contact_entity(t: Tables) -> DataFrame:
@@ -383,6 +401,7 @@ def queries() -> dict[str, Query]:
         )
     )
     q["survey_campaign_by_type"] = _on(lambda t: flat(sv.all_campaigns(t.sources)))
+    q["survey_campaign_repeated_ids"] = _on(_campaign_of_repeated_ids)
     q["survey_entity_flat"] = _on(lambda t: flat(t.new_survey()))
     q["survey_nested_responses"] = _on(_nested_responses)
 
@@ -394,6 +413,7 @@ def queries() -> dict[str, Query]:
     )
     q["contact_events_by_contact"] = _on(lambda t: flat(t.contact_events()))
     q["contact_nested_events"] = _on(_nested_contact_events)
+    q["contact_events_shared_links"] = _on(_shared_contact_links)
     q["contact_entity_flat"] = _on(_contact_entity)
 
     # Metrics.
@@ -451,8 +471,18 @@ def queries() -> dict[str, Query]:
         )
     )
     q["dq_event_type_valid"] = _on(lambda t: quality.event_type_valid(t.events()))
-    q["dq_no_duplicate_events"] = _on(lambda t: quality.unique(t.events(), "ID"))
-    q["dq_no_duplicate_campaigns"] = _on(lambda t: quality.unique(t.survey(), "ID"))
+    # After a second load, and counted, so that an empty table cannot pass.
+    q["dq_no_duplicate_events"] = _on(
+        lambda t: quality.column_tests(_upsert_events(t), "ID", ["ID"])
+    )
+    q["dq_no_duplicate_campaigns"] = _on(
+        lambda t: quality.column_tests(_survey_lookback(t), "ID", ["ID"])
+    )
+    q["dq_duplicate_keys"] = _on(
+        lambda t: quality.column_tests(
+            t.sources.transactions(), "plcy_cntrct_num", ["plcy_cntrct_num"]
+        )
+    )
     q["dq_no_future_timestamp"] = _on(
         lambda t: quality.no_future_timestamp(t.policy(), EARLIER_LOAD)
     )

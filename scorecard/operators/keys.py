@@ -12,8 +12,6 @@ from scorecard.functions.values import timestamp_lit
 from scorecard.operators.staging import stage
 
 BEGINNING = datetime(1900, 1, 1)
-# Keys are short strings: this many fit comfortably in every executor.
-MAX_BROADCAST_KEYS = 1_000_000
 
 
 def high_water_mark(df: DataFrame, column: str) -> datetime:
@@ -34,14 +32,13 @@ def key_set(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), renamed).where(F.col(name).isNotNull()).distinct()
 
 
-def settled(keys: DataFrame, label: str, limit: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Write a key set once and count it; broadcast it only if it is small.
+def settled(keys: DataFrame, label: str) -> DataFrame:
+    """Write a key set once, so that its readers know its real size in bytes.
 
-    With few changed keys the large tables are filtered where they are read.
-    With many, the same joins shuffle as usual.
+    The optimiser broadcasts it below its own threshold, and the large tables are
+    then filtered where they are read; else the same joins shuffle as usual.
     """
-    written = stage(keys, label)
-    return F.broadcast(written) if written.count() <= limit else written
+    return stage(keys, label)
 
 
 def only_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:

@@ -8,6 +8,7 @@ spread, never which rows come out, so the sketch need not be exact.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -15,10 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_FACTOR = 4
-MAX_HOT_KEYS = 1000
-SKETCH_ITEMS = 100_000
-# Inputs the optimiser sizes below this are one task's work, whatever their skew.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+# Counters of the sketch per hot key that there can be, and their least number.
+SKETCH_FACTOR, SKETCH_ITEMS, SKETCH_LIMIT = 100, 100_000, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -47,24 +46,20 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys()
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimiser's size estimate; no job is run."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes()))
-
-
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def find_hot_keys(
-    df: DataFrame, key: str, *, small_input: int = SMALL_INPUT_BYTES, factor: float = HOT_FACTOR
-) -> HotKeys:
-    """Keys of ``df`` holding more than ``factor`` fair task shares of its rows."""
-    if estimated_bytes(df) < small_input:
-        return NO_HOT_KEYS
+def find_hot_keys(df: DataFrame, key: str, *, factor: float = HOT_FACTOR) -> HotKeys:
+    """Keys of ``df`` holding more than ``factor`` fair task shares of its rows.
+
+    With P shuffle partitions at most P / ``factor`` keys can; the sketch is asked
+    for so many, so none is left out at any number of partitions.
+    """
+    possible = max(1, math.ceil(shuffle_partitions(df) / factor))
+    items = min(SKETCH_LIMIT, max(SKETCH_ITEMS, SKETCH_FACTOR * possible))
     row = df.select(F.col(key).alias("k")).agg(
-        F.expr(f"approx_top_k(k, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+        F.expr(f"approx_top_k(k, {possible}, {items})").alias("top"),
         F.count(F.lit(1)).alias("n"),
     ).first()
     if row is None or not row["n"]:
@@ -87,8 +82,8 @@ def lookup_join(
 ) -> DataFrame:
     """Left or inner join to a side with one row per key.
 
-    Rows of hot keys meet a broadcast of at most ``MAX_HOT_KEYS`` right rows and
-    are not shuffled; the rest join as usual. Rows with a hot null key match
+    Rows of hot keys meet a broadcast of one right row per hot key (a quarter of
+    the shuffle partitions at most) and are not shuffled; the rest join as usual. Rows with a hot null key match
     nothing and skip the shuffle in the same way.
     """
     if not hot.any:

@@ -11,13 +11,19 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is set."""
+    """The folder named in ``spark.checkpoint.dir``.
+
+    Where none is set, a session in one process (``local[...]``, as in tests) gets
+    one for its lifetime; a session on a cluster, also a local one, stops.
+    """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="scorecard-")
+    if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+        configured = tempfile.mkdtemp(prefix="scorecard-")
+        spark.conf.set(CHECKPOINT_DIR, configured)
+    return configured.rstrip("/")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

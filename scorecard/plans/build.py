@@ -10,12 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scorecard.operators import quality
 from scorecard.operators.keys import settled, without_keys
-from scorecard.operators.nesting import check_array_bound
 from scorecard.operators.staging import stage
 from scorecard.operators.upsert import upsert
 from scorecard.plans import incremental
 from scorecard.plans.change_event import change_event_entity
-from scorecard.plans.contact import all_contact_events, contact_entity, contact_events_by_contact
+from scorecard.plans.contact import (
+    all_contact_events,
+    contact_entity,
+    contact_events_by_contact,
+    shared_links,
+)
 from scorecard.plans.metrics import event_metrics, policy_metrics, survey_metrics
 from scorecard.plans.policy import policy_entity
 from scorecard.plans.survey import all_campaigns, all_responses, survey_entity
@@ -24,6 +28,19 @@ from scorecard.plans.wide import change_event_wide, contact_wide, policy_wide, s
 from scorecard.sources.tables import Sources
 from scorecard.store import TableStore
 
+# Tables whose second has exactly the rows of the first.
+GRAIN_PAIRS = (
+    ("PolicyRaw", "PolicyMetrics"),
+    ("ChangeEventRaw", "ChangeEventMetrics"),
+    ("SurveyRaw", "SurveyMetrics"),
+)
+# Wide tables have no key of their own: they must have as many rows.
+WIDE_PAIRS = (
+    ("PolicyRaw", "PolicyWide"),
+    ("ChangeEventRaw", "ChangeEventWide"),
+    ("SurveyRaw", "SurveyWide"),
+    ("ContactRaw", "ContactWide"),
+)
 MARKS_SCHEMA = "name string, mark timestamp_ntz"
 
 
@@ -48,10 +65,6 @@ def _write_marks(store: TableStore, marks: incremental.Marks) -> None:
 
 def _build_policy(store: TableStore, sources: Sources, marks: incremental.Marks | None) -> DataFrame:
     snapshots = sources.monthly_snapshots()
-    quality.require_empty(
-        quality.unique(sources.policy_spine(), incremental.KEY), "policy spine repeats a policy"
-    )
-    check_array_bound(snapshots, ["ext_pol_sfx_concat_cd"])
     if marks is None:
         entity = policy_entity(
             sources.policy_spine(), sources.transactions(), sources.policy_stats(), snapshots
@@ -148,11 +161,16 @@ def quality_report(store: TableStore, as_of: datetime) -> dict[str, int]:
         "ChangeEventRaw event type": quality.event_type_valid(events),
         "ChangeEventRaw policy link": quality.unresolved_links(events),
         "PolicyRaw no future transaction": quality.no_future_timestamp(policy, as_of),
-        "PolicyMetrics one row per policy": quality.grain_parity(
-            policy, store.read("PolicyMetrics")
-        ),
+        **{
+            f"{other} one row per {name} row": quality.grain_parity(store.read(name), store.read(other))
+            for name, other in GRAIN_PAIRS
+        },
     }
     report.update({name: df.count() for name, df in failing.items()})
+    for name, wide in WIDE_PAIRS:
+        report[f"{wide} as many rows as {name}"] = abs(
+            store.read(name).count() - store.read(wide).count()
+        )
     return report
 
 
@@ -197,7 +215,15 @@ def build(
 
     register_views(wide_policy, wide_survey, onboarding_entities, load_month)
     _write_marks(store, next_marks)
+    shared = (
+        {f"contacts share {contact_link.contact_column}": shared_links(
+            sources.contacts(), contact_link.contact_column
+        ).count()}
+        if contact_link
+        else {}
+    )
     return {
         **source_report(sources),
+        **shared,
         **quality_report(store, datetime.combine(as_of, time.max)),
     }

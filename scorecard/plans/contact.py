@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from scorecard.functions.keys import hash_id
 from scorecard.functions.values import null_of
 from scorecard.operators.nesting import (
-    MAX_ARRAY_ELEMENTS,
-    check_array_bound,
     empty_if_null,
     ordered_array,
 )
-from scorecard.operators.quality import require_empty, unique
+from scorecard.operators.latest import latest_per_key
+from scorecard.operators.quality import unique
 from scorecard.operators.skew import HotKeys, find_hot_keys, lookup_join
 
 # Contact fields and the source column of each.
@@ -85,24 +84,38 @@ def contact_events_by_contact(
 ) -> DataFrame:
     """Long form: one row per contact and event, keyed by the contact's ``ID``.
 
-    ``contact_key`` is the contact column that ``ContactLink`` refers to; without
-    it no event belongs to a contact. The column must name one contact only,
-    else every shared value would pair all its contacts with all its events.
+    ``contact_key`` is the contact column that ``ContactLink`` refers to. A value
+    that several contacts share belongs to the contact changed last, then to the
+    greatest id, so no event is repeated. Events without a contact, all of them
+    where no key is given, stay with a null ``ID``.
     """
     if contact_key is None:
-        return events.select(null_of("string").alias("ID"), *CONTACT_EVENT_COLUMNS).where(F.lit(False))
-    require_empty(unique(contacts, contact_key), f"contact column {contact_key} is not unique")
-    owners = contacts.where(F.col(contact_key).isNotNull()).select(
-        F.col(contact_key).alias("ContactLink"), F.col("id").alias("_contact")
-    )
-    linked = events.where(F.col("ContactLink").isNotNull())
+        return events.select(null_of("string").alias("ID"), *CONTACT_EVENT_COLUMNS)
+    owners = link_owners(contacts, contact_key)
     if hot is None:
-        hot = find_hot_keys(linked, "ContactLink")
-    return lookup_join(linked, owners, "ContactLink", hot, "inner").select(
+        hot = find_hot_keys(events, "ContactLink")
+    return lookup_join(events, owners, "ContactLink", hot, "left").select(
         hash_id(F.col("_contact")).alias("ID"), *CONTACT_EVENT_COLUMNS
     )
 
 
+def link_owners(contacts: DataFrame, contact_key: str) -> DataFrame:
+    """``[ContactLink, _contact]``: the one contact of each value of ``contact_key``."""
+    changed = F.col("lastmodifieddate") if "lastmodifieddate" in contacts.columns else F.lit(None)
+    rows = contacts.where(F.col(contact_key).isNotNull()).select(
+        F.col(contact_key).alias("ContactLink"),
+        F.col("id").alias("_contact"),
+        # Nulls sort as greatest; a contact that was never changed comes last.
+        F.coalesce(changed.cast("string"), F.lit("")).alias("_changed"),
+    )
+    return latest_per_key(rows, ["ContactLink"], ["_changed"], ["_contact"]).drop("_changed")
+
+
+def shared_links(contacts: DataFrame, contact_key: str) -> DataFrame:
+    """Values of ``contact_key`` that several contacts have, with their number."""
+    return unique(contacts, contact_key)
+
+
 def contact_entity(contacts: DataFrame) -> DataFrame:
     """``[ID, Contact]``; see ``nest_contact_events`` for the events array."""
 
@@ -124,26 +137,26 @@ def contact_entity(contacts: DataFrame) -> DataFrame:
 def nest_contact_events(
     contact: DataFrame,
     events: DataFrame,
-    limit: int = MAX_ARRAY_ELEMENTS,
     order: Sequence[str] = ("ContactTimestamp", "ContactEventId"),
 ) -> DataFrame:
-    """``[ID, Contact]`` with ``ContactEvents`` by time; empty when there are none.
+    """``[ID, Part, Contact]`` with ``ContactEvents`` by time; empty when there are none.
 
-    Raises ``ArrayTooLong`` when a contact has more events than an array should
-    hold; the long table has every event.
+    A contact comes in parts, one for each day of events (``Part``), so no array
+    grows with the history; a contact without events is one row without ``Part``.
     """
-    check_array_bound(events, ["ID"], limit)
     plain = [c for c in CONTACT_EVENT_COLUMNS if not c.startswith("Source")]
     payload = F.struct(
         *plain,
         F.struct(*[F.col(f"Source{n}").alias(n) for n in SOURCE_NAMES]).alias("ContactSources"),
     )
-    arrays = events.groupBy("ID").agg(
+    day = F.to_date("ContactTimestamp").alias("Part")
+    arrays = events.where(F.col("ID").isNotNull()).groupBy("ID", day).agg(
         ordered_array([F.col(c) for c in order], payload).alias("ContactEvents")
     )
     array_type = arrays.schema["ContactEvents"].dataType.simpleString()
     return contact.join(arrays, "ID", "left").select(
         "ID",
+        "Part",
         F.col("Contact")
         .withField("ContactEvents", empty_if_null(F.col("ContactEvents"), array_type))
         .alias("Contact"),

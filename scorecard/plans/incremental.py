@@ -56,7 +56,8 @@ def source_marks(sources: Sources) -> Marks:
 
 def snapshot_lookback_start(monthly_snapshots: DataFrame) -> str | None:
     """Month code three months before the newest snapshot in the data."""
-    newest = monthly_snapshots.agg(F.max("snap_yr_mo_cd").alias("m")).first()
+    code = F.when(F.col("snap_yr_mo_cd").rlike(r"^\d{4}-(0[1-9]|1[0-2])$"), F.col("snap_yr_mo_cd"))
+    newest = monthly_snapshots.agg(F.max(code).alias("m")).first()
     if newest is None or newest["m"] is None:
         return None
     year, month = (int(part) for part in newest["m"].split("-"))

@@ -96,7 +96,7 @@ def monthly_history(monthly_snapshots: DataFrame) -> DataFrame:
     """Snapshots nested per policy, by month.
 
     The input holds one row per policy and month, so an array is as long as the
-    calendar; loads run ``check_array_bound`` first in case it does not.
+    calendar.
     """
     return (
         monthly_snapshot_rows(monthly_snapshots)

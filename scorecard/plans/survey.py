@@ -26,9 +26,8 @@ from scorecard.functions.values import (
     timestamp_lit,
     try_number,
 )
+from scorecard.operators.latest import latest_per_key
 from scorecard.operators.nesting import (
-    MAX_ARRAY_ELEMENTS,
-    check_group_sizes,
     empty_if_null,
     ordered_array,
 )
@@ -91,7 +90,7 @@ def typed_responses(
     if from_day is not None:
         start = datetime.combine(from_day, time.min)
         responses = responses.where(F.col("startdate") >= timestamp_lit(start))
-    return responses.where(F.col("responseid").isNotNull()).select(
+    typed = responses.where(F.col("responseid").isNotNull()).select(
         F.lit(survey_type).alias("SurveyType"),
         F.col(columns.policy).alias("PolicyNumber"),
         F.col("responseid").alias("ResponseId"),
@@ -99,6 +98,9 @@ def typed_responses(
         try_number(F.col(columns.score)).alias("NpsScore"),
         *[detail(name) for name in AGENT_CHANGE_DETAILS],
     )
+    # A response delivered again is still one response: its newest row counts.
+    rest = [c for c in typed.columns if c not in ("SurveyType", "ResponseId", "ResponseDate")]
+    return latest_per_key(typed, ["SurveyType", "ResponseId"], ["ResponseDate"], rest)
 
 
 def invited_policies(
@@ -248,27 +250,25 @@ def response_struct() -> Column:
     )
 
 
-def nest_responses(
-    survey: DataFrame, responses: DataFrame, limit: int = MAX_ARRAY_ELEMENTS
-) -> DataFrame:
-    """``[ID, Survey]`` with ``Responses`` as an array ordered by response date.
+def nest_responses(survey: DataFrame, responses: DataFrame) -> DataFrame:
+    """``[ID, Part, Survey]`` with ``Responses`` as an array ordered by response date.
 
-    Raises ``ArrayTooLong`` when a wave has more responses than an array should
-    hold; the response table has every response of every wave.
+    A wave comes in parts, one for each day of responses (``Part``), so no array
+    grows with the wave; a wave without responses is one row without ``Part``.
     """
-    check_group_sizes(
-        wave_measures(responses).select(
-            "SurveyType", "InviteWave", F.col("ResponseCount").alias("count")
-        ),
-        limit,
-    )
     payload = response_struct()
-    arrays = by_wave(responses).groupBy("ID").agg(
-        ordered_array([F.col("ResponseDate"), F.col("ResponseId")], payload).alias("Responses")
+    columns = [c for c in responses.columns if c != "InviteWaves"]
+    # Grouped by type, wave and day; the long ID is made once for each part.
+    arrays = (
+        responses.select(*columns, F.explode("InviteWaves").alias("InviteWave"))
+        .groupBy("SurveyType", "InviteWave", F.to_date("ResponseDate").alias("Part"))
+        .agg(ordered_array([F.col("ResponseDate"), F.col("ResponseId")], payload).alias("Responses"))
+        .select(survey_id().alias("ID"), "Part", "Responses")
     )
     array_type = arrays.schema["Responses"].dataType.simpleString()
     return survey.join(arrays, "ID", "left").select(
         "ID",
+        "Part",
         F.col("Survey").withField(
             "Responses", empty_if_null(F.col("Responses"), array_type)
         ).alias("Survey"),

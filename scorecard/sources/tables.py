@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scorecard.operators.latest import latest_per_key
+
 SURVEY_TYPES = ("AGENT_CHANGE", "NEW_BUSINESS", "RENEWAL", "RNPS", "CSS_CES")
 INVITED_TYPES = ("AGENT_CHANGE", "NEW_BUSINESS", "RENEWAL")
 
@@ -118,7 +120,14 @@ class Sources:
         return self._opened[name]
 
     def policy_spine(self) -> DataFrame:
-        return self.table("policy_spine")
+        """One row per policy: the greatest by inception date, then the other columns.
+
+        The source repeats some policies; ``table("policy_spine")`` has all rows.
+        """
+        spine = self.table("policy_spine")
+        order = [c for c in ("plcy_incept_dt",) if c in spine.columns]
+        rest = [c for c in spine.columns if c not in ("plcy_cntrct_num", *order)]
+        return latest_per_key(spine, ["plcy_cntrct_num"], order, rest)
 
     def transactions(self) -> DataFrame:
         return self.table("transactions")

@@ -2,7 +2,6 @@ from datetime import date, datetime
 
 import pytest
 
-from scorecard.operators.quality import QualityError
 from scorecard.plans.build import ContactLink, build
 from scorecard.sources.testdata import TestdataSources
 from scorecard.sources.tables import (
@@ -106,10 +105,12 @@ def test_a_rerun_without_changes_changes_nothing(built, spark, folder):
     assert {n: text(loaded.read(n)) for n in tables} == before
 
 
-def test_a_repeated_policy_stops_the_build(spark, tmp_path):
-    with pytest.raises(QualityError):
-        build(spark, sources(spark, policy_spine=[spine("A"), spine("A")]), str(tmp_path), AS_OF)
-    assert not TableStore(spark, str(tmp_path)).exists("PolicyRaw")
+def test_a_repeated_policy_is_one_row_and_reported(spark, tmp_path):
+    given = sources(spark, policy_spine=[spine("A"), spine("A"), spine("B")])
+    for _ in range(2):
+        report = build(spark, given, str(tmp_path), AS_OF)
+        assert report["policy_spine unique plcy_cntrct_num"] == 1
+        assert TableStore(spark, str(tmp_path)).read("PolicyRaw").count() == 2
 
 
 def test_store_versions(spark, tmp_path):
@@ -132,7 +133,7 @@ def test_store_versions(spark, tmp_path):
 
 
 def test_file_sources(spark, tmp_path):
-    df = sources(spark, policy_spine=[spine("A")]).policy_spine()
+    df = sources(spark, policy_spine=[spine("A")]).table("policy_spine")
     df.withColumnRenamed("bus_entity", "entity").selectExpr("*", "1 as more").write.parquet(
         str(tmp_path / "policy_spine")
     )
@@ -141,7 +142,7 @@ def test_file_sources(spark, tmp_path):
         str(tmp_path),
         columns={"policy_spine": {"bus_entity": "entity"}},
         extra={"policy_spine": ["more"]},
-    ).policy_spine()
+    ).table("policy_spine")
     assert read.columns == [*df.columns, "more"]
     assert text(read.drop("more")) == text(df)
     plan = read.where("bus_entity = 'ENTITY_A'")._jdf.queryExecution().executedPlan().toString()

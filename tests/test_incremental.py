@@ -135,19 +135,18 @@ def test_upsert_and_insert(spark):
     assert [tuple(r) for r in insert_new(target, delta).collect()] == [("c", 30)]
 
 
-def test_key_sets_are_broadcast_only_when_small(spark):
+def test_key_sets_are_broadcast_by_their_size_in_bytes(spark):
     keys = spark.createDataFrame([("a",), ("b",)], "k string")
     rows = spark.createDataFrame([("a", 1), ("c", 2)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        for limit, join in ((2, "BroadcastHashJoin"), (1, "SortMergeJoin")):
-            kept = only_keys(rows, settled(keys, "t", limit), "k")
+        for threshold, join in ((1 << 20, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            kept = only_keys(rows, settled(keys, "t"), "k")
             assert join in kept._jdf.queryExecution().executedPlan().toString()
             assert [tuple(r) for r in kept.collect()] == [("a", 1)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
-
 def test_marks_of_empty_sources(spark):
     s = sources(spark)
     assert inc.source_marks(s) == inc.Marks()

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from scorecard.operators.latest import latest_per_key
 from scorecard.operators.neighbours import with_neighbour
-from scorecard.operators.nesting import ArrayTooLong, check_array_bound
 from scorecard.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join
 
 SCHEMA = "k string, a int, b int, v string"
@@ -79,11 +78,12 @@ def test_a_hot_history_is_spread_over_tasks(spark, rows):
 
 def test_find_hot_keys(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    hot = find_hot_keys(df, "k", small_input=0, factor=0.5)
+    hot = find_hot_keys(df, "k", factor=0.5)
     assert set(hot.shares) == {"hot"}
     assert hot.shares["hot"] == pytest.approx(0.4)
     assert hot.null_share == pytest.approx(0.3)
-    assert not find_hot_keys(df, "k").any  # small inputs are not examined
+    even = spark.range(100).select((F.col("id") % 50).cast("string").alias("k"))
+    assert not find_hot_keys(even, "k").any
 
 
 def test_lookup_join_keeps_every_row(spark, rows):
@@ -112,8 +112,10 @@ def test_latest_per_key_prunes_before_the_shuffle(spark, rows):
     assert {r["k"]: r["b"] for r in newest.collect()} == {k: v[1][2] for k, v in best.items()}
 
 
-def test_array_bound(spark, rows):
-    df = spark.createDataFrame(rows, SCHEMA)
-    check_array_bound(df, ["k"], 400)
-    with pytest.raises(ArrayTooLong):
-        check_array_bound(df.where(F.col("k").isNotNull()), ["k"], 399)
+def test_more_hot_keys_than_any_fixed_limit(spark):
+    df = spark.range(60_000).select((F.col("id") % 1500).cast("string").alias("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", "12000")
+    try:
+        assert len(find_hot_keys(df, "k").shares) == 1500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

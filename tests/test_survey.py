@@ -3,7 +3,6 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from scorecard.operators.nesting import ArrayTooLong
 from scorecard.operators.skew import HotKeys
 from scorecard.plans.metrics import policy_metrics, survey_metric, survey_metrics
 from scorecard.plans.survey import (
@@ -147,13 +146,44 @@ def test_nested_responses(spark):
         ],
     )
     survey, responses = survey_entity(all_campaigns(s)), all_responses(s)
-    rows = {r["Survey"]["InviteWave"].month: r["Survey"] for r in nest_responses(survey, responses).collect()}
-    assert [x["ResponseId"] for x in rows[1]["Responses"]] == ["R1", "R2"]
-    assert rows[1]["Responses"][1]["ProcessRatings"]["Rating1"] == 4
-    assert rows[1]["Responses"][0]["SystemIds"]["PolicyNumber"] == "P"
-    assert rows[2]["Responses"] == []
-    with pytest.raises(ArrayTooLong):
-        nest_responses(survey, responses, limit=1)
+    parts = nest_responses(survey, responses).orderBy("Part").collect()
+    rows = {(r["Survey"]["InviteWave"].month, r["Part"]): r["Survey"]["Responses"] for r in parts}
+    first, second = (1, date(2026, 1, 10)), (1, date(2026, 1, 20))
+    assert set(rows) == {(2, None), first, second}
+    assert [x["ResponseId"] for x in rows[first] + rows[second]] == ["R1", "R2"]
+    assert rows[second][0]["ProcessRatings"]["Rating1"] == 4
+    assert rows[first][0]["SystemIds"]["PolicyNumber"] == "P"
+    assert rows[2, None] == []
+
+
+def test_a_wave_past_any_array_bound_comes_in_parts(spark):
+    survey = spark.sql("SELECT 'AGENT_CHANGE' SurveyType, DATE'2026-01-01' InviteWave, "
+                       "1L InvitesSent, 120000L ResponseCount, 1D ResponseRate")
+    s = sources(spark, responses_agent_change=[answer("R", "P", "1", "2026-01-20")])
+    typed = typed_responses(s.responses("AGENT_CHANGE"), "AGENT_CHANGE")
+    many = (
+        typed.crossJoin(spark.range(120_000).withColumnRenamed("id", "n"))
+        .withColumn("ResponseId", F.col("n").cast("string"))
+        .withColumn("ResponseDate", F.expr("ResponseDate + make_dt_interval(cast(n % 20 as int))"))
+        .drop("n")
+        .withColumn("InviteWaves", F.array(F.to_date(F.lit("2026-01-01"))))
+    )
+    sizes = nest_responses(survey_entity(survey), many).select(F.size("Survey.Responses")).collect()
+    assert sorted(r[0] for r in sizes) == [6000] * 20
+
+
+def test_a_response_delivered_again_counts_once(spark):
+    again = [answer("R1", "P", "2", "2026-01-10"), answer("R1", "P", "9", "2026-01-12")]
+    s = sources(
+        spark,
+        invites_agent_change=[invite("P", "2026-01-05")],
+        responses_agent_change=again + again,
+        responses_rnps=again,
+    )
+    rows = all_responses(s).collect()
+    assert [(r["ResponseId"], r["NpsScore"]) for r in rows if r["SurveyType"] == "AGENT_CHANGE"] == [("R1", 9)]
+    assert len(rows) == 2
+    assert {r["ResponseCount"] for r in all_campaigns(s).where("ResponseCount > 0").collect()} == {1}
 
 
 def test_survey_schema_is_fixed(spark):
