@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from scorecard.llm import quality_rules
+
 OP8 = r"""
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -64,5 +66,54 @@ FROM judged
 """
 
 
+_BOUNDS = {
+    "low": "{over}::DOUBLE >= {bound} * {under}::DOUBLE",
+    "high": "{over}::DOUBLE <= {bound} * {under}::DOUBLE",
+}
+
+
+def _op4() -> str:
+    """The measures from their definitions; bounds and stop words are the query's own."""
+    stop = ", ".join(f"'{w}'" for s in quality_rules.STOP_WORDS for w in (s, s.capitalize()))
+    rules = " AND ".join(
+        _BOUNDS[side].format(over=t.over, under=t.under, bound=bound)
+        for t in quality_rules.THRESHOLDS
+        for side, bound in (("low", t.low), ("high", t.high))
+        if bound is not None
+    )
+    white, count = r"[\x20\x09-\x0D]", "length(t) - length(regexp_replace(t, '{}', '', 'g'))".format
+    return rf"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+split AS (
+  SELECT *, list_filter(string_split_regex(t, '{white}+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM texts),
+windows AS (
+  SELECT r, i, array_to_string(w[i:i + 7], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM split)),
+twice AS (SELECT r, s FROM windows GROUP BY r, s HAVING count(*) > 1),
+covered AS (
+  SELECT r, count(DISTINCT j) AS n
+  FROM (SELECT r, unnest(range(i, i + 8)) AS j FROM windows JOIN twice USING (r, s)) GROUP BY r),
+measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{white}', '', 'g')) AS word_chars,
+         {count("[#*$%&|<>]")} AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+         len(l) AS n_lines, {count("!")} AS n_exclamations,
+         {count(chr(92) + "p" + "{Lu}")} AS n_upper, {count(chr(92) + "p" + "{L}")} AS n_letters,
+         len(list_filter(w, lambda x: x IN ({stop}))) AS n_stop_words,
+         len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n_stutters,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…){white}*$'))) AS n_ellipsis_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '^{white}*(•|[*-] .*[^\x20\x09-\x0D])')))
+             AS n_bullet_lines
+  FROM split LEFT JOIN covered USING (r)),
+judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {rules} AS kept
+FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc_revisits": OP7, "op8_exact_dedup": OP8}
+    return {"op4_quality_rules": _op4(), "op7_warc_revisits": OP7, "op8_exact_dedup": OP8}
