@@ -127,14 +127,14 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         total = np.zeros(rows * DIM)
         for batch in batches:
             words, shapes = [], []
-            gap = np.empty(0, np.int64)
             for text in batch.column(0).to_pylist():
                 w, s = slots_of(text)
                 words.append(w)
                 shapes.append(s)
             # Neighbours across two texts of a batch are a vanishing share.
-            add_contexts(total, np.concatenate([gap, *words]), indexing)
-            add_contexts(total, np.concatenate([gap, *shapes]), indexing)
+            for part in (words, shapes):
+                if part:
+                    add_contexts(total, np.concatenate(part), indexing)
         values = total.astype(np.int64).reshape(-1, BLOCK * DIM)
         used = np.flatnonzero(values.any(axis=1))
         yield pa.RecordBatch.from_arrays(

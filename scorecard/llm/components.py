@@ -22,10 +22,6 @@ def _totals(links: DataFrame):
     return row["n"], row["h"]
 
 
-def _pointed(links: DataFrame, lowest: DataFrame) -> DataFrame:
-    return links.join(lowest, "a")
-
-
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root`` (smallest node of its component) for every linked node.
 

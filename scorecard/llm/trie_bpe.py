@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,28 @@ from tokenizers import Tokenizer
 from scorecard.llm.bpe import BREAK, BYTE_SIMPLE, BYTE_SPLIT, ODD_SPACE, byte_characters
 from scorecard.llm.common import prepare, texts_of
 
-# Distinct chunks remembered by a worker before it starts anew.
-MEMORY_CHUNKS = 120_000
+# Distinct chunks, and words, of one of the two generations a worker remembers.
+MEMORY_CHUNKS = 300_000
+# Bytes of a path's end by which the lengths of tokens ending there are looked up.
+END_BYTES = 4
+
+
+class Recent:
+    """Results of two generations; between batches the older one may go."""
+
+    def __init__(self, limit: int):
+        self.limit, self.now, self.old = limit, {}, {}
+
+    def start(self) -> dict:
+        if len(self.now) > self.limit:
+            self.now, self.old = {}, self.now
+        return self.now
+
+    def missing(self, keys: set) -> set:
+        """Keys that neither generation has; those of the older one move up."""
+        found = {k: self.old[k] for k in keys if k in self.old}
+        self.now.update(found)
+        return keys - found.keys()
 
 
 class TrieEncoder:
@@ -54,7 +75,11 @@ class TrieEncoder:
         self.raw = raw
         self.ids = {raw(token): number for token, number in model["vocab"].items()}
         self.bytes = {number: token for token, number in self.ids.items()}
-        self.longest = max(map(len, self.ids))
+        self.by_end: dict[bytes, list[int]] = {}
+        for token in self.ids:
+            if len(token) >= END_BYTES:
+                self.by_end.setdefault(token[-END_BYTES:], []).append(len(token))
+        self.ends: dict[bytes, tuple[int, ...]] = {}
         # Rank of a merge by its two token ids.
         self.rank = {}
         for n, (a, b) in enumerate(model["merges"]):
@@ -70,7 +95,8 @@ class TrieEncoder:
             else None
         )
         self.follows: dict[tuple[int, int], bool] = {}
-        self.chunks: dict[str, tuple] = {}
+        self.chunks = Recent(MEMORY_CHUNKS)
+        self.words = Recent(MEMORY_CHUNKS)
         # Bytes of every id in one array, for decoding without a loop over ids.
         top = max(self.bytes) + 1
         self.sizes = np.zeros(top, np.int64)
@@ -104,6 +130,13 @@ class TrieEncoder:
             self.follows[left, right] = known
         return known
 
+    def _lengths(self, end: bytes) -> tuple[int, ...]:
+        """Lengths of the tokens that can end with ``end``, longest first."""
+        found = set(self.by_end.get(end, ())) if len(end) == END_BYTES else set()
+        found |= {n for n in range(1, len(end) + 1) if end[len(end) - n :] in self.ids}
+        self.ends[end] = lengths = tuple(sorted(found, reverse=True))
+        return lengths
+
     def encode_words(self, words: set[bytes]) -> dict[bytes, tuple[int, ...]]:
         """Encodings of distinct words through one trie."""
         root: dict = {}
@@ -116,7 +149,9 @@ class TrieEncoder:
                 node = child
             node[-1] = word
         found: dict[bytes, tuple[int, ...]] = {}
-        ids, follows, longest = self.ids, self.follows, self.longest
+        ids, follows, ends = self.ids, self.follows, self.ends
+        if len(ends) > 500_000:
+            ends.clear()
         path = bytearray()
         last: list[int] = []  # the last token of each prefix of the path
         size: list[int] = []  # and its length
@@ -129,7 +164,14 @@ class TrieEncoder:
             path.append(byte)
             depth += 1
             # The token that ends here and may follow what is before it.
-            for start in range(max(0, depth - longest), depth):
+            end = bytes(path[-END_BYTES:])
+            lengths = ends.get(end)
+            if lengths is None:
+                lengths = self._lengths(end)
+            for length in lengths:
+                start = depth - length
+                if start < 0:
+                    continue
                 token = ids.get(bytes(path[start:]))
                 if token is None:
                     continue
@@ -186,17 +228,17 @@ class TrieEncoder:
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; new distinct words of the batch go into one trie."""
         split = [self.chunks_of(t) for t in texts]
-        if len(self.chunks) > MEMORY_CHUNKS:
-            self.chunks = {}
-        known = self.chunks
-        fresh = {c for chunks in split for c in chunks if c not in known}
+        known, words = self.chunks.start(), self.words.start()
+        fresh = self.chunks.missing({c for chunks in split for c in chunks if c not in known})
         pieces = {c: self._pieces(c) for c in fresh if isinstance(c, str)}
-        words = self.encode_words({p for ps in pieces.values() for p in ps})
+        unknown = {p for ps in pieces.values() for p in ps if p not in words}
+        for word, numbers in self.encode_words(self.words.missing(unknown)).items():
+            words[word] = array("I", numbers).tobytes()
         for chunk in fresh:
-            numbers = (
-                [n for p in pieces[chunk] for n in words[p]] if chunk in pieces else [chunk]
-            )
-            known[chunk] = np.array(numbers, np.uint32).tobytes()
+            if chunk in pieces:
+                known[chunk] = b"".join(map(words.__getitem__, pieces[chunk]))
+            else:
+                known[chunk] = array("I", [chunk]).tobytes()
         return [
             np.frombuffer(b"".join(map(known.__getitem__, chunks)), np.uint32) for chunks in split
         ]
