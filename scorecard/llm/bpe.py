@@ -19,7 +19,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
-MEMORY_WORDS = 200_000
+MEMORY_WORDS = 300_000
 
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 # The split patterns of the two tokenizer kinds, for Latin text.
