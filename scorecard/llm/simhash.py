@@ -11,10 +11,11 @@ reference differs by more than three are discarded (triangle inequality), and
 the survivors are verified bit by bit.
 
 Equal fingerprints are one node, so exact copies cost nothing here. A bucket
-with more than ``bucket_limit`` nodes is dealt again by finer blocks; at the last
-level blocks are single bits, all members of a bucket are linked, and it becomes
-a star instead of all its pairs. No bucket is cut or sampled, and the links lose
-no component.
+with more than ``bucket_limit`` nodes is dealt again by finer blocks, down to single
+bits. Distances do not tell all bits of a wider block apart, so at the last level
+the fixed bits themselves are compared: nodes that agree in all but the same three
+bits (eight at most) become a star instead of all their pairs. No bucket is cut or
+sampled, and the links lose and add no component.
 
 Defined results: a null or empty text has fingerprint zero and links like any
 other; a null doc_id takes part but is never a component's id unless alone;
@@ -132,7 +133,7 @@ def _keyed(nodes: DataFrame, level: int, parents: bool) -> DataFrame:
         return coded.select("fp", "table", F.explode(choices).alias("c")).select(
             "fp", "table", "c.key", "c.free"
         )
-    # Blocks inside the parent's free bits; all the others agree already.
+    # Blocks inside the parent's free bits; the distances of all others agree already.
     numbers = F.filter(
         F.array(*[F.struct(F.lit(b).alias("b"), F.lit(_signed(_mask(b, blocks))).alias("m")) for b in range(blocks)]),
         lambda x: F.col("free").bitwiseAND(x["m"]) != 0,
@@ -196,6 +197,13 @@ def _pairs(small: DataFrame) -> DataFrame:
     return groups.select(F.explode(found).alias("l")).select("l.a", "l.b")
 
 
+def _stars(keyed: DataFrame) -> DataFrame:
+    """Links of nodes that agree in all bits but the free ones, each to the lowest."""
+    fixed = F.col("fp").bitwiseAND(F.bitwise_not("free"))
+    groups = keyed.groupBy("free", fixed.alias("fixed")).agg(F.collect_set("fp").alias("g"))
+    return groups.select(F.explode("g").alias("a"), F.array_min("g").alias("b")).where("a <> b")
+
+
 def links(nodes: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Links (a, b) that join every two of the distinct ``fp`` within three bits,
     directly or through others within three bits of each."""
@@ -203,13 +211,11 @@ def links(nodes: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     found = []
     for level in range(len(LEVELS)):
         keyed = _keyed(now, level, parents=level > 0)
-        sized = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
-        shared = sized.where("n > 1")
         if level == len(LEVELS) - 1:
-            # All but three bits agree: every member is linked to every other.
-            lowest = F.min("fp").over(Window.partitionBy("key"))
-            found.append(shared.select(F.col("fp").alias("a"), lowest.alias("b")).where("a <> b"))
+            found.append(_stars(keyed))
             break
+        sized = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
+        shared = sized.where("n > 1")
         found.append(_pairs(shared.where(F.col("n") <= bucket_limit)))
         now = stage(
             shared.where(F.col("n") > bucket_limit).select("fp", "table", "key", "free"),

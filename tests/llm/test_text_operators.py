@@ -118,6 +118,16 @@ def test_simhash_links_lose_no_component(spark, limit):
     assert {f: roots.get(f, f) for f in fps} == brute.groups_within(fps, 3)
 
 
+@pytest.mark.parametrize("limit", [1, 128])
+def test_simhash_links_only_what_is_close(spark, limit):
+    # The bits of block 1 differ, but not their distances to the references.
+    rest = random.Random(5).getrandbits(63) & ~(((1 << 21) - 1) ^ ((1 << 10) - 1))
+    fps = {rest | 0x7DC00, rest | 0x1D3C00, rest | 0x1D3C00 ^ 0x7 << 40}
+    nodes = spark.createDataFrame([(f,) for f in fps], "fp long")
+    roots = {r.node: r.root for r in components(simhash.links(nodes, limit)).collect()}
+    assert {f: roots.get(f, f) for f in fps} == brute.groups_within(fps, 3)
+
+
 def test_near_groups(spark):
     texts = ["a b c d", "A b  c d", None, "", "x y z w v", "q"]
     got = simhash.near_groups(brute.frame(spark, texts, [5, 4, 3, None, 1, 1])).collect()
