@@ -1,10 +1,10 @@
 """Secret scans: fixed patterns, and strings that a tokenizer finds hard to write.
 
 Patterns give the base spans. The token-efficiency test adds others: an unbroken
-run of letters and digits that needs many tokens for its length under a public
-vocabulary looks random. Known digests and identifiers (hexadecimal digests,
-UUIDs, plain numbers, digests named as such, runs without both digits and
-letters) are excluded first, and spans that touch a base span are not repeated.
+run of letters, digits or both that needs many tokens for its length under a public
+vocabulary looks random. Base spans and known digests and identifiers (hexadecimal
+digests, UUIDs, plain numbers, digests named as such) are cut out of a run first;
+each rest that is long enough for a run is judged by itself.
 
 Only words long enough to hold a secret are looked at, so a text costs one split.
 
@@ -43,12 +43,18 @@ ASSIGN_VALUE_CHARS, ACCESS_CHARS, HEX_CHARS = 12, 18, 16
 RUN_CHARS = 20
 MAX_CHARS_PER_TOKEN = 2.1
 RUN_PATTERN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RUN_CHARS)
-DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_CHARS = (32, 40, 48, 56, 64, 96, 128)
-UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+# Whole parts of a run: not those that go on with a letter or digit.
+KNOWN = re.compile(
+    r"(?<![A-Za-z0-9])(?:[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|%s)(?![A-Za-z0-9])"
+    % "|".join(f"[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in DIGEST_CHARS)
+)
 DIGEST_NAME = r"(?i:md5|sha-?[0-9]{1,3}|crc32|etag|digest|checksum|uuid|guid)"
 NAMED_DIGEST = re.compile(DIGEST_NAME + r"\W{0,4}$")
-STARTS_WITH_NAME = re.compile(DIGEST_NAME + r"[-_=/+]")
+# A name covers no more characters than the longest digest has.
+NAMED_VALUE = r"[A-Za-z0-9+/_-]{1,%d}={0,2}" % DIGEST_CHARS[-1]
+VALUE = re.compile(NAMED_VALUE)
+STARTS_WITH_NAME = re.compile(DIGEST_NAME + "[-_=/+]" + NAMED_VALUE)
 PLACEHOLDER = "[SECRET]"
 
 _ENCODINGS: dict[str, tiktoken.Encoding] = {}
@@ -97,33 +103,41 @@ def base_spans(text: str, words: list[tuple[int, str]]) -> list[tuple[int, int,
     return sorted(spans)
 
 
-def looks_known(run: str, before: str) -> bool:
-    """Digests, UUIDs, numbers, and words of one case: not secrets by this test."""
-    if UUID.search(run) or NAMED_DIGEST.search(before) or STARTS_WITH_NAME.match(run):
-        return True
-    if len(run) in DIGEST_CHARS and DIGEST.fullmatch(run):
-        return True
-    letters = sum(c.isalpha() for c in run)
-    digits = sum(c.isdigit() for c in run)
-    return letters < 4 or digits < 2
+def known_spans(run: str, before: str) -> list[tuple[int, int]]:
+    """Digests and UUIDs inside a run: not secrets by this test."""
+    named = VALUE.match(run) if NAMED_DIGEST.search(before) else STARTS_WITH_NAME.match(run)
+    return [m.span() for m in KNOWN.finditer(run)] + ([named.span()] if named else [])
+
+
+def rests(start: int, end: int, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the cuts leave of a span."""
+    left = []
+    for s, e in sorted(cuts):
+        if s > start:
+            left.append((start, min(s, end)))
+        start = max(start, e)
+    return [*left, (start, end)] if start < end else left
 
 
 def random_spans(
     text: str, words: list[tuple[int, str]], taken: list[tuple[int, int, int]], tokens
 ) -> list[tuple[int, int, int]]:
-    """Runs of few characters per token that are not known and touch no base span."""
+    """Runs of few characters per token, without what is known or in a base span."""
     found = []
     for at, word in words:
         if len(word) < RUN_CHARS:
             continue
         for m in RUN_PATTERN.finditer(word):
             start, end = at + m.start(), at + m.end()
-            if any(s < end and start < e for s, _, e in taken):
-                continue
-            if looks_known(m[0], text[max(0, start - 16) : start]):
-                continue
-            if len(m[0]) <= MAX_CHARS_PER_TOKEN * len(tokens.encode_ordinary(m[0])):
-                found.append((start, 3, end))
+            cuts = [(s, e) for s, _, e in taken if s < end and start < e]
+            known = known_spans(m[0], text[max(0, start - 16) : start])
+            cuts += [(start + s, start + e) for s, e in known]
+            for s, e in rests(start, end, cuts):
+                run = text[s:e]
+                if e - s < RUN_CHARS or not any(c.isalpha() for c in run):
+                    continue
+                if e - s <= MAX_CHARS_PER_TOKEN * len(tokens.encode_ordinary(run)):
+                    found.append((s, 3, e))
     return found
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import string
 
 import pytest
 
@@ -101,6 +102,23 @@ def test_secrets(spark):
     assert hexa not in shown[2] and shown[2].startswith("[SECRET] and é [SECRET]")
 
 
+def test_secrets_of_any_letters_and_digits(spark):
+    rng = random.Random(6)
+    letters, upper = string.ascii_letters, string.ascii_uppercase
+    kinds = [letters, string.ascii_lowercase, upper, letters + string.digits, upper + "234567"]
+    made = ["".join(rng.choices(k, k=n)) for k in kinds for n in (20, 24, 32, 64)]
+    rand, uuid = "q7ZxP0vK2mB9tR4wYc8N", "123e4567-e89b-12d3-a456-426614174000"
+    parts = [f"{rand}_{uuid}", f"{uuid}/{rand}", f"0123456789abcdef01_{rand}", f"AKIA{'Q' * 14}/{rand}"]
+    numbers = ["2024-01-01/2024-12-31", "=-" * 20, "A0B1C2D3" * 5, f"x-{uuid}"]
+    texts = [f"see {t} now" for t in [*made, *parts, *numbers]]
+    clean = secret_scan.redact(brute.frame(spark, texts), BYTE_RANKS)
+    shown = [r.text for r in clean.orderBy("doc_id").collect()]
+    assert shown[: len(made)] == ["see [SECRET] now"] * len(made)
+    for got, text in zip(shown[len(made) :], parts, strict=False):
+        assert rand not in got and "[SECRET]" in got and (uuid in got) == (uuid in text)
+    assert shown[len(made) + len(parts) :] == texts[len(made) + len(parts) :]
+
+
 def test_simhash_fingerprints(spark, texts):
     got = {r.doc_id: r.fp for r in simhash.fingerprints(brute.frame(spark, texts)).collect()}
     assert all(got[i] % (1 << 64) == brute.simhash(t) for i, t in enumerate(texts))
