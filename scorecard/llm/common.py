@@ -61,22 +61,19 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
     Rows repeated with the same doc_id and text are one document: one row stays.
     """
-    names = docs.columns
-    kept = verdicts.where("kept").groupBy("doc_id", "text_key").agg(
-        F.first("kept").alias("kept")
-    )
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    stays = docs.withColumn("_text_key", text_key()).join(kept, same, "left_semi")
+    # The user's row is one struct, so that no name of it meets one of these.
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_key().alias("text_key"))
+    named = [F.col("doc_id").alias("id"), F.col("text_key").alias("key")]
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
+    kept = verdicts.where("kept").groupBy("doc_id", "text_key").agg(F.first("kept").alias("kept"))
+    stays = rows.join(kept.select(*named), same, "left_semi")
     repeated = verdicts.groupBy("doc_id", "text_key").count().where("count > 1")
-    repeated = stage(
-        repeated.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "repeated"
-    )
+    repeated = stage(repeated.select(*named), "repeated")
     if repeated.isEmpty():
-        return stays.select(*names)
+        return stays.select("row.*")
     single = stays.join(repeated, same, "left_anti")
-    several = stays.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_text_key"])
-    return single.unionByName(several).select(*names)
+    several = stays.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return single.unionByName(several).select("row.*")
 
 
 def replaced(text: Column, characters: str, by: str = "") -> Column:

@@ -51,6 +51,17 @@ def test_exact_keeps_columns_and_one_of_repeated_rows(spark):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "a b"), (3, None)]
 
 
+@pytest.mark.parametrize("apply", [exact_dedup.deduplicate, simhash.deduplicate])
+def test_columns_of_any_name_stay(spark, apply):
+    names = ["_id", "_key", "_text_key", "row", "id", "key", "a.b"]
+    rows = [(1, "a b c", *names), (1, "a b c", *names), (2, "a b c", *names), (3, "q", *names)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    kept = apply(docs)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[3]]
+
+
 def test_rules_against_brute_force(spark, texts):
     got = {r.doc_id: r for r in quality_rules.judge(brute.frame(spark, texts)).collect()}
     for i, text in enumerate(texts):
