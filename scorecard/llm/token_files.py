@@ -7,10 +7,10 @@ stream of record batches; each row is one training sequence:
 * ``mask``: fixed_size_list<bool>[length], true for tokens, false for padding
 
 Batches hold the same number of sequences and no nulls, so sequence ``n`` of a
-memory-mapped file is at a fixed place and is read without copying. Only the last
-sequence of a file is padded. The schema's metadata says how many documents and
-tokens the file has; its last batches, in a stream of their own behind the
-first, list the documents (doc_id, n_tokens).
+memory-mapped file is at a fixed place and is read without copying
+(``SequenceFile``). Only the last sequence of a file is padded. A stream of its own
+behind the first lists the documents (doc_id, n_tokens); the last eight bytes of a
+file are its number of sequences.
 
 Documents are range-partitioned by doc_id before they are encoded (null ids
 last; equal ids by text), one file for each partition. A file is written under a
@@ -22,6 +22,7 @@ are documents of their own; an empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,7 +39,6 @@ from scorecard.operators.staging import shared_dir, stage
 
 SEQUENCE_TOKENS = 2048
 BATCH_SEQUENCES = 64
-MASK_BYTES_PER_SEQUENCE = SEQUENCE_TOKENS // 8
 # Text in one file, so that a task's memory and a file's size are bounded.
 FILE_CHARS = 32 << 20
 INDEX_ROWS = 4096
@@ -55,6 +55,11 @@ def stream_schema(length: int, wide: bool) -> pa.Schema:
     return pa.schema([pa.field("ids", ids, nullable=False), pa.field("mask", mask, nullable=False)])
 
 
+# The number of sequences, last in a file.
+TAIL = struct.Struct("<q")
+# An end mark of a stream: a continuation and a length of zero.
+END_BYTES = 8
+
 INDEX = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -67,7 +72,7 @@ class SequenceWriter:
         self.sink = sink
         self.writer = ipc.new_stream(sink, self.schema)
         self.buffer = np.zeros(BATCH_SEQUENCES * length, self.kind)
-        self.used = 0
+        self.used = self.sequences = 0
         self.documents: list[tuple[int | None, int]] = []
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
@@ -97,6 +102,7 @@ class SequenceWriter:
         ]
         self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
         self.used = 0
+        self.sequences += rows
 
     def close(self) -> None:
         if self.used:
@@ -110,6 +116,54 @@ class SequenceWriter:
                         [pa.array(c, pa.int64()) for c in zip(*some, strict=True)], schema=INDEX
                     )
                 )
+        self.sink.write(TAIL.pack(self.sequences))
+
+
+class SequenceFile:
+    """Sequences of a token file by number. Full batches have one size, so each is
+    found by its number; of a memory-mapped file the results are views."""
+
+    def __init__(self, source: pa.NativeFile):
+        self.source = source
+        source.seek(source.size() - TAIL.size)
+        (self.sequences,) = TAIL.unpack(source.read(TAIL.size))
+        self.batches = -(-self.sequences // BATCH_SEQUENCES)
+        source.seek(0)
+        self.schema = ipc.read_schema(ipc.read_message(source))
+        self.first = source.tell()
+        if self.batches:
+            ipc.read_message(source)
+        self.size = source.tell() - self.first
+
+    def __len__(self) -> int:
+        return self.sequences
+
+    def batch(self, number: int) -> pa.RecordBatch:
+        self.source.seek(self.first + number * self.size)
+        return ipc.read_record_batch(ipc.read_message(self.source), self.schema)
+
+    def __getitem__(self, n: int) -> tuple[pa.Array, pa.Array]:
+        """Ids and mask of sequence ``n``."""
+        if not 0 <= n < self.sequences:
+            raise IndexError(f"sequence {n} of {self.sequences}")
+        batch, row = self.batch(n // BATCH_SEQUENCES), n % BATCH_SEQUENCES
+        return batch.column(0)[row].values, batch.column(1)[row].values
+
+    def index(self) -> pa.Table:
+        """doc_id and n_tokens of the documents, which stand behind the last batch."""
+        self.source.seek(self.first)
+        if self.batches:
+            self.batch(self.batches - 1)
+        self.source.seek(self.source.tell() + END_BYTES)
+        return ipc.open_stream(self.source).read_all()
+
+
+def _open(uri: str) -> pa.NativeFile:
+    """A file to read from: mapped where it is local."""
+    store, name = _place(uri)
+    if isinstance(store, fs.LocalFileSystem):
+        return pa.memory_map(name)
+    return store.open_input_file(name)
 
 
 def read_documents(source) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -118,12 +172,9 @@ def read_documents(source) -> Iterator[tuple[int | None, np.ndarray]]:
     The index is read first (it stands behind the sequences), then the ids,
     of which only the current batches are held.
     """
-    source.seek(0)
-    for _ in ipc.open_stream(source):
-        pass
-    index = ipc.open_stream(source).read_all()
-    source.seek(0)
-    batches = iter(ipc.open_stream(source))
+    file = SequenceFile(source)
+    index = file.index()
+    batches = map(file.batch, range(file.batches))
     held, at = np.empty(0, np.uint32), 0
     for doc_id, count in zip(*[c.to_pylist() for c in index.columns], strict=True):
         parts, need = [], count
@@ -138,7 +189,7 @@ def read_documents(source) -> Iterator[tuple[int | None, np.ndarray]]:
             parts.append(part)
             at += len(part)
             need -= len(part)
-        yield doc_id, np.concatenate(parts) if len(parts) != 1 else parts[0]
+        yield doc_id, parts[0] if len(parts) == 1 else np.concatenate([held[:0], *parts])
 
 
 def write_files(
@@ -209,9 +260,8 @@ def read_files(files: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                store, name = _place(path)
                 out: list[list] = [[], [], [], []]
-                with store.open_input_file(name) as source:
+                with _open(path) as source:
                     for doc_id, ids in read_documents(source):
                         crc = zlib.crc32(ids.astype("<u4").tobytes())
                         for column, value in zip(out, (doc_id, start, len(ids), crc), strict=True):

@@ -88,6 +88,31 @@ def test_token_file_is_read_without_copying(tmp_path):
         assert pa.total_allocated_bytes() - before < 1024
 
 
+@pytest.mark.parametrize("tokens", [0, 5, 600, 64 * 8, 64 * 8 * 300 + 1])
+def test_sequences_by_number(tmp_path, tokens):
+    path = str(tmp_path / "tokens.arrows")
+    with pa.OSFile(path, "wb") as sink:
+        writer = token_files.SequenceWriter(sink, 8, True)
+        writer.add(1, np.arange(tokens, dtype=np.uint32))
+        writer.close()
+    before = pa.total_allocated_bytes()
+    with pa.memory_map(path) as source:
+        file = token_files.SequenceFile(source)
+        assert len(file) == -(-tokens // 8)
+        for n in {0, len(file) // 2, len(file) - 1} if tokens else ():
+            ids, mask = file[n]
+            left = min(8, tokens - 8 * n)
+            assert ids.to_pylist() == [*range(8 * n, 8 * n + left), *[0] * (8 - left)]
+            assert mask.to_pylist() == [True] * left + [False] * (8 - left)
+        assert pa.total_allocated_bytes() - before < 1024
+        for n in (-1, len(file)):
+            with pytest.raises(IndexError):
+                file[n]
+        assert file.index().to_pylist() == [{"doc_id": 1, "n_tokens": tokens}]
+        [(doc_id, ids)] = token_files.read_documents(source)
+        assert doc_id == 1 and np.array_equal(ids, np.arange(tokens))
+
+
 def test_packing(spark):
     rng = random.Random(2)
     texts = [" ".join("cat dog bird".split()[rng.randrange(3)] for _ in range(rng.randint(0, 60))) for _ in range(150)]
