@@ -2,10 +2,11 @@
 
 A tokenizer never merges across the places where its own pattern splits. White
 space (for word tokenizers) and a space before other text (for byte-level ones)
-are such places, so a text's ids are those of its words, and each distinct word
-is encoded once per worker. Words of plain Latin letters, digits and ASCII signs
-are split here and merged by the tokenizer's own model; any other word goes
-through the whole tokenizer. The memory of words is bounded.
+are such places, so a text's ids are those of its words. The distinct words of
+some texts are learnt together: those of plain Latin letters, digits and ASCII
+signs are split here and their distinct pieces merged by the tokenizer's own model;
+any other word goes through the whole tokenizer. Learnt words are remembered, up to
+a number of bytes.
 """
 
 from __future__ import annotations
@@ -14,12 +15,15 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
-MEMORY_WORDS = 300_000
+# Bytes of one generation of remembered words, and characters learnt together.
+MEMORY_BYTES = 64 << 20
+PORTION = 2 << 20
 
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 # The split patterns of the two tokenizer kinds, for Latin text.
@@ -48,35 +52,52 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
 
-class Memory(dict):
-    """Results by word, of two generations: the older goes when the newer is full."""
+class Memory:
+    """Bytes by word, of two generations: the older goes when the newer is full.
 
-    def __init__(self, compute, limit: int = MEMORY_WORDS):
-        super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
+    Bounded by the characters and bytes it holds, so that long words count as such.
+    """
+
+    # What an entry takes besides its own characters and bytes.
+    ENTRY_BYTES = 150
+
+    def __init__(self, limit: int):
+        self.limit, self.used = limit, 0
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, words: set[str]) -> set[str]:
+        """Words of neither generation; those of the older one move up."""
+        words = words - self.now.keys()
+        if self.old:
+            found = words & self.old.keys()
+            self.add({w: self.old[w] for w in found})
+            words -= found
+        return words
+
+    def add(self, values: dict[str, bytes]) -> None:
+        self.now.update(values)
+        self.used += sum(map(len, values)) + sum(map(len, values.values()))
+        self.used += self.ENTRY_BYTES * len(values)
 
-    def __missing__(self, word):
-        value = self.old.get(word)
-        if value is None:
-            value = self.compute(word)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[word] = value
-        return value
+    def turn(self) -> None:
+        """Between batches: a full generation becomes the older one."""
+        if self.used > self.limit:
+            self.now, self.old, self.used = {}, self.now, 0
 
 
 class WordEncoder:
     """Ids of whole texts by one tokenizer file."""
 
-    def __init__(self, path: str, memory_words: int = MEMORY_WORDS):
+    def __init__(self, path: str, memory_bytes: int = MEMORY_BYTES):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.model = self.tokenizer.model
-        self.special = [t["content"] for t in described.get("added_tokens", [])]
+        special = [t["content"] for t in described.get("added_tokens", [])]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         normal, before = described.get("normalizer"), described.get("pre_tokenizer") or {}
         parts = [p["type"] for p in before.get("pretokenizers", [before])]
         steps = [n["type"] for n in (normal or {}).get("normalizers", [])]
@@ -86,42 +107,94 @@ class WordEncoder:
             self.kind = "word"
         else:
             self.kind = "whole"
-        table = byte_characters()
-        self.shown = {b: table[b] for b in range(256)}
-        self.pieces = Memory(self._piece, memory_words)
-        self.first = Memory(self._encode, memory_words // 10)
-        self.later = Memory(lambda w: self._encode(" " + w), memory_words)
+        self.shown = "".join(byte_characters())
+        # First words of a text (byte-level kind alone), and words after a space.
+        self.first = Memory(memory_bytes // 8)
+        self.later = Memory(memory_bytes)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _encode(self, word: str) -> bytes:
-        simple = BYTE_SIMPLE if self.kind == "byte" else WORD_SIMPLE
-        if any(s in word for s in self.special) or not simple.fullmatch(word):
-            return self._whole(word)
-        if self.kind == "byte":
-            pieces = BYTE_SPLIT.findall(word)
-        else:
-            pieces = WORD_SPLIT.findall(word.lower())
-        return b"".join(map(self.pieces.__getitem__, pieces))
-
-    def _piece(self, piece: str) -> bytes:
-        shown = piece.encode().decode("latin-1").translate(self.shown)
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+    def _merged(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of each distinct piece by the tokenizer's own model."""
+        distinct = list(set(pieces))
+        if not distinct:
+            return {}
+        end = self.shown[0]
+        shown = "\0".join(distinct).encode().decode("latin-1").translate(self.shown).split(end)
+        merge = self.model.tokenize
+        return {
+            piece: array("I", [t.id for t in merge(text)]).tobytes()
+            for piece, text in zip(distinct, shown, strict=True)
+        }
+
+    def _learn(self, memory: Memory, words: set[str], before: str = "") -> None:
+        """Encode the words that a memory lacks, all their pieces together."""
+        simple = (BYTE_SIMPLE if self.kind == "byte" else WORD_SIMPLE).fullmatch
+        split = (BYTE_SPLIT if self.kind == "byte" else WORD_SPLIT).findall
+        special = self.special.search if self.special else lambda _: None
+        parts: dict[str, list[str]] = {}
+        found: dict[str, bytes] = {}
+        for word in memory.missing(words):
+            if word.isalpha() and word.isascii():
+                parts[word] = [before + word if self.kind == "byte" else word.lower()]
+            elif not simple(word) or special(word):
+                found[word] = self._whole(before + word)
+            else:
+                parts[word] = split(before + word if self.kind == "byte" else word.lower())
+        known = self._merged([p for pieces in parts.values() for p in pieces])
+        for word, pieces in parts.items():
+            found[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+        memory.add(found)
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+    def _split(self, text: str) -> list[str]:
         if self.kind == "word":
             if any(c in text for c in SEPARATORS):
-                words = ASCII_SPACE.split(text)
-            else:
-                words = text.split()
-            return b"".join(map(self.first.__getitem__, words))
+                return ASCII_SPACE.split(text)
+            return text.split()
+        return BREAK.split(text) if ODD_SPACE.search(text) else text.split(" ")
+
+    def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers.
+
+        Words are learnt some texts at a time, so little waits in memory.
+        """
         if self.kind == "whole":
-            return self._whole(text)
-        words = BREAK.split(text) if ODD_SPACE.search(text) else text.split(" ")
-        later = map(self.later.__getitem__, words[1:])
-        return self.first[words[0]] + b"".join(later)
+            yield from map(self._whole, texts)
+            return
+        for some in _portions(texts):
+            split = [self._split(text) for text in some]
+            if self.kind == "byte":
+                self._learn(self.first, {words[0] for words in split})
+                self._learn(self.later, set().union(*[words[1:] for words in split]), " ")
+                heads = self.first.now
+            else:
+                self._learn(self.later, set().union(*split))
+            later = self.later.now.__getitem__
+            for words in split:
+                if self.kind == "byte":
+                    yield heads[words[0]] + b"".join(map(later, words[1:]))
+                else:
+                    yield b"".join(map(later, words))
+            self.first.turn()
+            self.later.turn()
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_batch([text]))
+
+
+def _portions(texts: list[str]) -> Iterator[list[str]]:
+    """Runs of texts of some ``PORTION`` characters; a longer text is one alone."""
+    some: list[str] = []
+    size = 0
+    for text in texts:
+        if some and size + len(text) > PORTION:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -131,6 +204,4 @@ def encoder(path: str) -> WordEncoder:
     """The encoder of a file; made once per worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
-        if _ENCODERS[path].kind == "word":
-            _ENCODERS[path].first.limit = MEMORY_WORDS
     return _ENCODERS[path]

@@ -48,8 +48,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int
     def rows(ids, texts):
         tool = encoder(tokenizer_path)
         out = [[], [], [], [], []]
-        for doc_id, text in zip(ids, texts, strict=True):
-            data = tool.encode(text) + end
+        for doc_id, data in zip(ids, tool.encode_batch(texts), strict=True):
+            data += end
             for number, at in enumerate(range(0, len(data), 4 * capacity)):
                 part = data[at : at + 4 * capacity]
                 values = (doc_id, number, at // 4, len(part) // 4, zlib.crc32(part))

@@ -227,9 +227,9 @@ def write_files(
                 temporary = f"{base}/.{number:06d}-{uuid.uuid4().hex}"
                 sink = store.open_output_stream(temporary)
                 writer = SequenceWriter(sink, length, wide)
-            for doc_id, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                ids = np.frombuffer(tool.encode(text), np.uint32)
-                ids = np.append(ids, np.uint32(end_id))
+            doc_ids, texts = (c.to_pylist() for c in batch.columns)
+            for doc_id, data in zip(doc_ids, tool.encode_batch(texts), strict=True):
+                ids = np.append(np.frombuffer(data, np.uint32), np.uint32(end_id))
                 tokens += len(ids)
                 writer.add(doc_id, ids)
         if writer is not None:
