@@ -11,9 +11,11 @@ import public_tokenizers
 from scorecard.llm import (
     classifier,
     exact_dedup,
+    length_packing,
     packing,
     quality_rules,
     revisits,
+    role_repair,
     secret_scan,
     simhash,
     superkmers,
@@ -97,6 +99,15 @@ def op10_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return trie_bpe.digests(_documents(spark, folder), BYTE_TOKENIZER)
 
 
+def op12_length_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return length_packing.pack(_documents(spark, folder), WORD_TOKENIZER)
+
+
+def op13_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = prepare(spark).read.parquet(f"{folder}/conversations.parquet")
+    return role_repair.repair_report(role_repair.damaged(conversations), conversations)
+
+
 QUERIES = (
     op1_secret_scan,
     op2_token_files,
@@ -108,6 +119,8 @@ QUERIES = (
     op8_exact_dedup,
     op9_best_fit_packing,
     op10_trie_bpe,
+    op12_length_packing,
+    op13_role_repair,
 )
 
 
