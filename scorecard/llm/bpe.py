@@ -11,6 +11,7 @@ a number of bytes.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -31,6 +32,8 @@ BYTE_SPLIT = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN}]+| ?[0-9]+| ?[^\s0-9{LATIN}]+|\s+(?!\S)|\s+"
 )
 WORD_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[^\s0-9{LATIN}]+")
+# The same, with the spaces between words as pieces.
+WORDS_SPLIT = re.compile(WORD_SPLIT.pattern + "| ")
 BYTE_SIMPLE = re.compile(rf"[\n\t !-~{LATIN}]*")
 WORD_SIMPLE = re.compile(rf"[!-~{LATIN}]*")
 # A space before anything but white space: byte-level words begin there.
@@ -96,6 +99,9 @@ class WordEncoder:
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.model = self.tokenizer.model
+        # Words are remembered here; the model's own memory would only be filled in vain.
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)
         special = [t["content"] for t in described.get("added_tokens", [])]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         normal, before = described.get("normalizer"), described.get("pre_tokenizer") or {}
@@ -130,23 +136,50 @@ class WordEncoder:
 
     def _learn(self, memory: Memory, words: set[str], before: str = "") -> None:
         """Encode the words that a memory lacks, all their pieces together."""
+        missing = memory.missing(words)
         simple = (BYTE_SIMPLE if self.kind == "byte" else WORD_SIMPLE).fullmatch
-        split = (BYTE_SPLIT if self.kind == "byte" else WORD_SPLIT).findall
         special = self.special.search if self.special else lambda _: None
-        parts: dict[str, list[str]] = {}
-        found: dict[str, bytes] = {}
-        for word in memory.missing(words):
-            if word.isalpha() and word.isascii():
-                parts[word] = [before + word if self.kind == "byte" else word.lower()]
-            elif not simple(word) or special(word):
+        # Words without a space of their own can be split as one text.
+        plain = [w for w in missing if w and " " not in w] if before or self.kind == "word" else []
+        if not self._is_plain(plain):
+            plain = [w for w in plain if simple(w) and not special(w)]
+        found = self._together(plain) if plain else {}
+        rest = missing.difference(plain)
+        parts = {}
+        for word in rest:
+            if not simple(word) or special(word):
                 found[word] = self._whole(before + word)
             else:
-                parts[word] = split(before + word if self.kind == "byte" else word.lower())
+                parts[word] = self._pieces(before + word)
         known = self._merged([p for pieces in parts.values() for p in pieces])
         for word, pieces in parts.items():
-            found[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+            found[word] = b"".join([known[p] for p in pieces])
         memory.add(found)
 
+    def _is_plain(self, words: list[str]) -> bool:
+        text = "".join(words)
+        simple = (BYTE_SIMPLE if self.kind == "byte" else WORD_SIMPLE).fullmatch(text)
+        return bool(simple) and not (self.special and self.special.search(" ".join(words)))
+
+    def _pieces(self, text: str) -> list[str]:
+        return BYTE_SPLIT.findall(text) if self.kind == "byte" else WORD_SPLIT.findall(text.lower())
+
+    def _together(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words after a space, by one split of all of them."""
+        if self.kind == "byte":
+            pieces = BYTE_SPLIT.findall(" " + " ".join(words))
+            known = self._merged(pieces)
+        else:
+            pieces = WORDS_SPLIT.findall(" " + " ".join(words).lower())
+            known = self._merged([p for p in set(pieces) if p != " "])
+            known[" "] = b""
+        # A piece that begins with a space begins a word.
+        starts = [n for n, piece in enumerate(pieces) if piece[0] == " "]
+        ids = list(map(known.__getitem__, pieces))
+        ends = [*starts[1:], len(pieces)]
+        values = [ids[a] if b == a + 1 else b"".join(ids[a:b]) for a, b in zip(starts, ends, strict=True)]
+        return dict(zip(words, values, strict=True))
+
     def _split(self, text: str) -> list[str]:
         if self.kind == "word":
             if any(c in text for c in SEPARATORS):
@@ -204,4 +237,6 @@ def encoder(path: str) -> WordEncoder:
     """The encoder of a file; made once per worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+        # Learning makes many short-lived lists and no cycles: look for cycles less often.
+        gc.set_threshold(200_000, 20, 20)
     return _ENCODERS[path]

@@ -21,6 +21,7 @@ from scorecard.llm import (
     superkmers,
     token_files,
     trie_bpe,
+    turn_trie,
 )
 from scorecard.llm.common import prepare
 
@@ -99,6 +100,10 @@ def op10_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return trie_bpe.digests(_documents(spark, folder), BYTE_TOKENIZER)
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_trie.rebuilt_trie(prepare(spark).read.parquet(f"{folder}/conversations.parquet"))
+
+
 def op12_length_packing(spark: SparkSession, folder: str) -> DataFrame:
     return length_packing.pack(_documents(spark, folder), WORD_TOKENIZER)
 
@@ -119,6 +124,7 @@ QUERIES = (
     op8_exact_dedup,
     op9_best_fit_packing,
     op10_trie_bpe,
+    op11_conversation_trie,
     op12_length_packing,
     op13_role_repair,
 )

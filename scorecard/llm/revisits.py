@@ -12,8 +12,9 @@ buckets only the last response of each bucket is carried on. Payloads never
 take part: the result names the response that has it.
 
 Records: record_id, kind ("response" or "revisit"), url, at (timestamp), status,
-headers (map, any case). Defined results: a record without a time or URL never
-matches; at one time, responses come before revisits, then by record_id; headers
+headers (map, any case). Defined results: a record without a time or URL (null, blank,
+or nothing but a scheme) never matches, and such revisits skip the as-of join; at one
+time, responses come before revisits, then by record_id; headers
 that are null count as none; repeated rows each get a result; other columns are
 ignored; an empty table gives no rows.
 """
@@ -100,17 +101,20 @@ def resolve(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFra
     ``outcome`` is etag or last-modified when resolved, else mismatch, no validator
     or no response; ``refers_to`` and ``headers`` are null unless resolved.
     """
+    url_key = canonical_url(F.col("url"))
     rows = records.where(F.col("kind").isin("response", "revisit")).select(
         "record_id",
         "kind",
-        canonical_url(F.col("url")).alias("url_key"),
+        F.when(url_key != "", url_key).alias("url_key"),
         "at",
         "status",
         lower_keys(F.col("headers")).alias("headers"),
     )
-    is_full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("at").isNotNull()
+    matches = F.col("url_key").isNotNull() & F.col("at").isNotNull()
+    alone = rows.where((F.col("kind") == "revisit") & ~matches)
+    is_full = (F.col("kind") == "response") & (F.col("status") == 200)
     full = F.when(is_full, F.struct("record_id", "headers"))
-    rows = rows.withColumns(
+    rows = rows.where(matches).withColumns(
         {
             "bucket": F.floor(F.unix_seconds(F.col("at").cast("timestamp")) / bucket_seconds),
             "late": (F.col("kind") == "revisit").cast("int"),
@@ -136,9 +140,11 @@ def resolve(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFra
         "record_id",
         "url_key",
         "headers",
-        F.when(F.col("at").isNotNull(), F.coalesce("found", "earlier")).alias("old"),
+        F.coalesce("found", "earlier").alias("old"),
     )
-    judged = joined.withColumn(
+    # Null in ``old`` for those that skipped the join.
+    every = joined.unionByName(alone.select("record_id", "url_key", "headers"), True)
+    judged = every.withColumn(
         "outcome",
         F.when(F.col("old").isNull(), F.lit("no response")).otherwise(
             _validation(F.col("old.headers"), F.col("headers"))

@@ -198,17 +198,21 @@ def test_revisits(spark):
         ("v4", "revisit", None, at(9), 304, None),
         ("v5", "revisit", url, None, 304, {"ETag": '"x"'}),
         ("v6", "revisit", url, at(900), 304, {}),
+        ("n1", "response", None, at(8), 200, {"ETag": '"x"'}),
+        ("n2", "response", " http:// ", at(8), 200, {"ETag": '"x"'}),
+        ("n3", "revisit", None, at(9), 304, {"ETag": '"x"'}),
+        ("n4", "revisit", "", at(9), 304, {"ETag": '"x"'}),
         ("v7", "revisit", url, at(901), 304, {"ETag": '"x"'}),
         ("v7", "revisit", url, at(901), 304, {"ETag": '"x"'}),
     ]
     schema = "record_id string, kind string, url string, at timestamp, status int, headers map<string,string>"
     for seconds in (revisits.BUCKET_SECONDS, 1, 10**9):
         got = revisits.resolve(spark.createDataFrame(rows, schema), seconds).collect()
-        assert len(got) == 8
+        assert len(got) == 10
         shown = {r.record_id: (r.refers_to, r.outcome) for r in got}
         assert shown["v1"] == ("r1", "etag") == shown["v7"]
         assert shown["v2"] == (None, "mismatch")
-        assert {shown[v] for v in ("v3", "v4", "v5")} == {(None, "no response")}
+        assert {shown[v] for v in ("v3", "v4", "v5", "n3", "n4")} == {(None, "no response")}
         assert shown["v6"] == (None, "no validator")
         merged = next(r.headers for r in got if r.record_id == "v1")
         assert merged == {"etag": 'W/"x"', "content-length": "9", "date": "d2"}
