@@ -9,10 +9,10 @@ from datetime import date, datetime, time
 from pyspark.sql import DataFrame, SparkSession
 
 from scorecard.operators import quality
-from scorecard.operators.keys import settled, without_keys
+from scorecard.operators.keys import settled
 from scorecard.operators.staging import stage
-from scorecard.operators.upsert import upsert
-from scorecard.plans import incremental
+from scorecard.operators.upsert import insert_new, upsert
+from scorecard.plans import event_load, incremental
 from scorecard.plans.change_event import change_event_entity
 from scorecard.plans.contact import (
     all_contact_events,
@@ -69,31 +69,54 @@ def _build_policy(store: TableStore, sources: Sources, marks: incremental.Marks
         entity = policy_entity(
             sources.policy_spine(), sources.transactions(), sources.policy_stats(), snapshots
         )
-        return store.replace("PolicyRaw", entity)
+        return store.deal("PolicyRaw", entity, "ID")
+    return merge_policy(store, sources, marks)
+
+
+def merge_policy(store: TableStore, sources: Sources, marks: incremental.Marks) -> DataFrame:
+    """The stored Policy entity with its changed policies recomputed."""
     previous = store.read("PolicyRaw")
-    return store.replace("PolicyRaw", incremental.load_policy(previous, sources, marks))
+    keys = settled(incremental.policy_changed_keys(previous, sources, marks), "policy-keys")
+    delta = stage(incremental.policy_delta(sources, keys), "policy-delta")
+    return store.merge("PolicyRaw", delta, "ID")
+
+
+def store_change_events(store: TableStore, sources: Sources, policy: DataFrame) -> DataFrame:
+    """All change events, dealt by policy, and the last history row of each policy."""
+    events = change_event_entity(
+        sources.transactions(), sources.policy_spine(), sources.policy_stats(), policy
+    )
+    store.deal("ChangeEventTails", event_load.history_tails(sources.transactions()), incremental.KEY)
+    return store.deal("ChangeEventRaw", events, event_load.NUMBER)
+
+
+def merge_change_events(
+    store: TableStore, sources: Sources, policy: DataFrame, marks: incremental.Marks
+) -> DataFrame:
+    """The stored change events with those of new transactions.
+
+    The label of a list is the mark its load started from. If the stored one has this
+    load's mark, an earlier try ended after it; what that try added is not added again.
+    """
+    label = str(marks.transactions)
+    load = event_load.event_load(
+        sources, policy, store.read("ChangeEventTails"), marks.transactions
+    )
+    added = load.events
+    if store.label("ChangeEventRaw") == label:
+        kept = event_load.not_of_policies(store.read("ChangeEventRaw"), event_load.NUMBER, load.replaced)
+        added = stage(insert_new(kept, added), "event-delta")
+    events = store.merge("ChangeEventRaw", added, event_load.NUMBER, load.replaced, label)
+    store.merge("ChangeEventTails", load.tails, incremental.KEY, label=label)
+    return events
 
 
 def _build_change_events(
     store: TableStore, sources: Sources, policy: DataFrame, marks: incremental.Marks | None
 ) -> DataFrame:
     if marks is None:
-        events = store.replace(
-            "ChangeEventRaw",
-            change_event_entity(
-                sources.transactions(), sources.policy_spine(), sources.policy_stats(), policy
-            ),
-        )
-        store.replace("ChangeEventKeys", incremental.transaction_keys(sources))
-        return events
-    previous, seen = store.read("ChangeEventRaw"), store.read("ChangeEventKeys")
-    keys = settled(incremental.event_changed_keys(sources, seen, marks), "event-keys")
-    delta = stage(incremental.change_event_delta(previous, sources, policy, keys), "event-delta")
-    new_keys = stage(without_keys(keys, seen, incremental.KEY), "new-keys")
-    events = previous if delta.isEmpty() else store.append("ChangeEventRaw", delta)
-    if not new_keys.isEmpty():
-        store.append("ChangeEventKeys", new_keys)
-    return events
+        return store_change_events(store, sources, policy)
+    return merge_change_events(store, sources, policy, marks)
 
 
 def _build_survey(

@@ -28,17 +28,17 @@ CHANGE_EVENT_TYPE = (
 
 
 # Rows equal in date and timestamp are ordered by content, so results repeat.
-_HISTORY = (
+HISTORY = (
     "EffectiveDate",
     "SourceTransactionTimestamp",
     "SourceSystemCode",
     "CurrentZip",
     "CurrentAgentNumber",
 )
-_PREVIOUS = {"PreviousZip": "CurrentZip", "PreviousAgentNumber": "CurrentAgentNumber"}
+PREVIOUS = {"PreviousZip": "CurrentZip", "PreviousAgentNumber": "CurrentAgentNumber"}
 
 
-def _history(transactions: DataFrame) -> DataFrame:
+def history(transactions: DataFrame) -> DataFrame:
     return transactions.select(
         KEY,
         F.col("eff_dt").alias("EffectiveDate"),
@@ -54,7 +54,7 @@ def ranked_transactions(transactions: DataFrame, hot: HotKeys | None = None) ->
 
     Five-digit zip only. Both values come from one window.
     """
-    return with_neighbour(_history(transactions), KEY, _HISTORY, _PREVIOUS, hot=hot)
+    return with_neighbour(history(transactions), KEY, HISTORY, PREVIOUS, hot=hot)
 
 
 def _changed(current: str, previous: str) -> Column:
@@ -169,9 +169,9 @@ def change_event_entity(
     """
     if hot is None:
         hot = find_hot_keys(transactions, KEY)
-    ordinary, spread = neighbour_parts(_history(transactions), KEY, _HISTORY, _PREVIOUS, hot)
+    ordinary, spread = neighbour_parts(history(transactions), KEY, HISTORY, PREVIOUS, hot)
     context = policy_context(spine, policy_stats, policy)
-    entity = _entity(all_change_events(ordinary).join(context, KEY, "left"))
+    entity = entity_of(all_change_events(ordinary), context)
     if spread is None:
         return entity
 
@@ -184,12 +184,13 @@ def change_event_entity(
         of_hot(policy, "Policy.SystemIds.RtenPlcyCntrctNum"),
     )
     return entity.unionByName(
-        _entity(all_change_events(spread).join(F.broadcast(few), KEY, "left"))
+        entity_of(all_change_events(spread), F.broadcast(few))
     )
 
 
-def _entity(joined: DataFrame) -> DataFrame:
-    return joined.select(
+def entity_of(events: DataFrame, context: DataFrame) -> DataFrame:
+    """Events with the context of their policies (``policy_context``)."""
+    return events.join(context, KEY, "left").select(
         event_id().alias("ID"),
         F.struct(
             F.col("EventType"),

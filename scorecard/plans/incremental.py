@@ -1,4 +1,4 @@
-"""Incremental loads of the raw entities.
+"""Incremental loads of the raw entities; change events have ``event_load``.
 
 Each load recomputes whole keys from full history, only for keys that changed,
 and merges them into the previous version. With nothing new the result equals
@@ -22,11 +22,9 @@ from scorecard.operators.keys import (
     newer_than,
     only_keys,
     settled,
-    without_keys,
 )
 from scorecard.operators.staging import stage
-from scorecard.operators.upsert import insert_new, upsert
-from scorecard.plans.change_event import change_event_entity
+from scorecard.operators.upsert import upsert
 from scorecard.plans.policy import SPINE_FIELDS, policy_entity
 from scorecard.plans.survey import FromWaves, all_campaigns, all_responses, survey_entity
 from scorecard.sources.tables import Sources
@@ -115,54 +113,6 @@ def load_policy(previous: DataFrame, sources: Sources, marks: Marks) -> DataFram
     return upsert(previous, stage(policy_delta(sources, keys), "policy-delta"), settle=True)
 
 
-# --------------------------------------------------------------- change events
-
-
-def transaction_keys(sources: Sources) -> DataFrame:
-    """Policies that have transactions; kept between loads as the seen keys."""
-    return key_set(sources.transactions().select(KEY))
-
-
-def event_changed_keys(sources: Sources, seen: DataFrame, marks: Marks) -> DataFrame:
-    """Policies with transactions past the mark, or never seen by a load."""
-    fresh = newer_than(sources.transactions(), "src_trans_tmsp", marks.transactions).select(KEY)
-    return key_set(fresh, without_keys(transaction_keys(sources), seen, KEY))
-
-
-def change_event_delta(
-    previous: DataFrame, sources: Sources, policy: DataFrame, keys: DataFrame
-) -> DataFrame:
-    """Events the target lacks, from the full history of the policies ``keys``.
-
-    Every side, the stored events too, is cut down to those policies first.
-    """
-    candidates = change_event_entity(
-        only_keys(sources.transactions(), keys, KEY),
-        only_keys(sources.policy_spine(), keys, KEY),
-        only_keys(sources.policy_stats(), keys, "plcy_num"),
-        of_policies(policy, "Policy.SystemIds.RtenPlcyCntrctNum", keys),
-    )
-    stored = of_policies(previous, "ChangeEvent.Rten.PLCY_CNTRCT_NUM", keys)
-    return insert_new(stored, candidates)
-
-
-def of_policies(entity: DataFrame, number: str, keys: DataFrame) -> DataFrame:
-    """Entity rows whose nested policy number is in ``keys``."""
-    return only_keys(entity.withColumn(KEY, F.col(number)), keys, KEY).drop(KEY)
-
-
-def load_change_events(
-    previous: DataFrame,
-    sources: Sources,
-    policy: DataFrame,
-    seen: DataFrame,
-    marks: Marks,
-) -> DataFrame:
-    """The next version of the ChangeEvent entity."""
-    keys = settled(event_changed_keys(sources, seen, marks), "event-keys")
-    return previous.unionByName(change_event_delta(previous, sources, policy, keys))
-
-
 # ---------------------------------------------------------------------- survey
 
 

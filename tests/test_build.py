@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from scorecard.plans.build import ContactLink, build
 from scorecard.sources.testdata import TestdataSources
@@ -12,7 +13,7 @@ from scorecard.sources.tables import (
     project,
     read_seed,
 )
-from scorecard.store import TableStore
+from scorecard.store import FOLDERS, TableStore
 from tests.frames import sources, spine
 
 AS_OF = date(2001, 9, 1)
@@ -53,7 +54,7 @@ def test_incremental_events_have_the_same_keys(built):
     assert text(loaded.read("ChangeEventRaw").select("ID")) == text(
         rebuilt.read("ChangeEventRaw").select("ID")
     )
-    assert text(loaded.read("ChangeEventKeys")) == text(rebuilt.read("ChangeEventKeys"))
+    assert text(loaded.read("ChangeEventTails")) == text(rebuilt.read("ChangeEventTails"))
 
 
 def test_event_metrics_of_policies_agree(built):
@@ -132,6 +133,67 @@ def test_store_versions(spark, tmp_path):
     assert text(store.read("t")) == text(a.union(b))
 
 
+def rows_by_bucket(store, name):
+    return {r["bucket"]: r["folder"] for r in store._listed(name)}
+
+
+def test_a_merge_writes_the_touched_buckets_only(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), buckets=100)
+    first = spark.range(5000).selectExpr("cast(id AS string) AS ID", "0 AS v", "id % 7 AS bucket_like")
+    store.deal("t", first, "ID")
+    before = rows_by_bucket(store, "t")
+    assert len(before) == 101  # and the row that has the schema
+    delta = spark.createDataFrame([("17", 1, 0), ("new", 1, 0)], "ID string, v int, bucket_like bigint")
+    merged = store.merge("t", delta, "ID")
+    after = rows_by_bucket(store, "t")
+    assert sum(before[b] != after[b] for b in before) <= 2
+    files = [p for p in (tmp_path / "t").glob("data-*/bucket=*/*.parquet") if "data-000001" not in str(p)]
+    assert 1 <= len(files) <= 2
+    want = sorted([(str(i), 1 if i == 17 else 0) for i in range(5000)] + [("new", 1)])
+    assert sorted((r["ID"], r["v"]) for r in merged.collect()) == want
+    assert merged.columns == first.columns
+
+
+def test_a_failed_merge_leaves_the_old_list(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), buckets=4)
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "ID string, v int")
+    store.deal("t", rows, "ID")
+    broken = rows.withColumn("v", F.expr("CAST(raise_error('lost') AS int)"))
+    with pytest.raises(Exception, match="lost"):
+        store.merge("t", broken, "ID")
+    # Data that no list names, and a list whose write did not end.
+    (tmp_path / "t" / "data-000007" / "bucket=1").mkdir(parents=True)
+    (tmp_path / "t" / "list-000008").mkdir()
+    assert text(store.read("t")) == text(rows)
+    assert text(store.merge("t", rows.where("v = 2").withColumn("v", F.lit(3)), "ID").select("v")) == ["Row(v=1)", "Row(v=3)"]
+
+
+def test_added_rows_rewrite_nothing_until_a_bucket_has_many_folders(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), buckets=1)
+    rows = lambda n: spark.createDataFrame([(f"k{n}", n)], "ID string, v int")
+    nothing = rows(0).select("ID").limit(0)
+    store.deal("t", rows(0).limit(0), "ID")
+    assert store.read("t").count() == 0 and store.read("t").columns == ["ID", "v"]
+    for n in range(12):
+        store.merge("t", rows(n), "ID", nothing, label=str(n))
+        assert len(store._listed("t")) <= 1 + FOLDERS
+    assert sorted(r["v"] for r in store.read("t").collect()) == list(range(12))
+    assert store.label("t") == "11"
+    gone = store.merge("t", rows(0).limit(0), "ID", rows(3).select("ID"))
+    assert sorted(r["v"] for r in gone.collect()) == [n for n in range(12) if n != 3]
+    # Old versions go when asked for, and what the list names stays.
+    assert store.remove_old("t") and store.remove_old("t") == []
+    assert store.read("t").count() == 11
+
+
+def test_null_keys_are_a_bucket_too(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), buckets=3)
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "ID string, v int")
+    store.deal("t", rows, "ID")
+    merged = store.merge("t", rows.where("v = 3").withColumn("v", F.lit(4)), "ID")
+    assert sorted(r["v"] for r in merged.collect()) == [1, 2, 4]
+
+
 def test_file_sources(spark, tmp_path):
     df = sources(spark, policy_spine=[spine("A")]).table("policy_spine")
     df.withColumnRenamed("bus_entity", "entity").selectExpr("*", "1 as more").write.parquet(

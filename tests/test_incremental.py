@@ -1,9 +1,14 @@
 from datetime import datetime
 
+import pytest
+
 from scorecard.operators.keys import only_keys, settled
 from scorecard.operators.upsert import insert_new, upsert
+from scorecard.plans import build as bd
+from scorecard.plans import event_load as el
 from scorecard.plans import incremental as inc
 from scorecard.plans.survey import all_campaigns, all_responses, by_wave, survey_entity
+from scorecard.store import TableStore
 from tests.frames import answer, entities, invite, snap, sources, spine, stat, txn
 
 
@@ -77,25 +82,81 @@ def test_late_back_dated_transaction_does_not_take_over(spark):
     assert zips["A"] == "2"
 
 
-def test_event_load_equals_a_rebuild(spark):
-    old, _, previous = entities(spark, **BEFORE)
+def event_store(spark, path, old, policy):
+    store = TableStore(spark, str(path), buckets=4)
+    bd.store_change_events(store, old, policy)
+    return store
+
+
+def test_event_load_equals_a_rebuild(spark, tmp_path):
+    old, old_policy, _ = entities(spark, **BEFORE)
     new, policy, rebuilt = entities(spark, **{**AFTER, "policy_stats": BEFORE["policy_stats"]})
-    loaded = inc.load_change_events(
-        previous, new, policy, inc.transaction_keys(old), inc.source_marks(old)
-    )
+    store = event_store(spark, tmp_path, old, old_policy)
+    loaded = bd.merge_change_events(store, new, policy, inc.source_marks(old))
     assert text(loaded) == text(rebuilt)
     assert loaded.count() == 3  # one stored, one for A, one for the never-seen D
+    assert text(store.read("ChangeEventTails")) == text(el.history_tails(new.transactions()))
+
+
+@pytest.mark.parametrize("day", ["2024-06-01", "2025-01-15", "2025-02-01", "2025-02-02", "2026-01-01"])
+def test_late_rows_equal_a_rebuild(spark, tmp_path, day):
+    """A late row may remove a stored event, alter one, add one, or come last."""
+    old, old_policy, _ = entities(spark, **BEFORE)
+    late = [
+        {**txn("A", day, "2"), "src_trans_tmsp": datetime(2026, 9, 1)},
+        {**txn("A", day, "1", "Y"), "src_trans_tmsp": datetime(2026, 9, 2)},
+        {**txn("C", "2024-01-01", None, None), "src_trans_tmsp": datetime(2026, 9, 1)},
+    ]
+    new, policy, rebuilt = entities(spark, **{**BEFORE, "transactions": [*BEFORE["transactions"], *late]})
+    store = event_store(spark, tmp_path, old, old_policy)
+    assert text(bd.merge_change_events(store, new, policy, inc.source_marks(old))) == text(rebuilt)
+    # And a later row then goes on from the new tail.
+    more = [*BEFORE["transactions"], *late, {**txn("A", "2026-02-01", "9"), "src_trans_tmsp": datetime(2026, 10, 1)}]
+    after, policy, rebuilt = entities(spark, **{**BEFORE, "transactions": more})
+    assert text(bd.merge_change_events(store, after, policy, inc.source_marks(new))) == text(rebuilt)
+
+
+def test_a_corrected_event_replaces_the_stored_one(spark, tmp_path):
+    old, old_policy, events = entities(spark, **BEFORE)
+    assert [e["ChangeEvent"]["PreviousZipCode"] for e in events.collect()] == ["1"]
+    between = {**txn("A", "2025-01-20", "5"), "src_trans_tmsp": datetime(2025, 9, 1)}
+    new, policy, _ = entities(spark, **{**BEFORE, "transactions": [*BEFORE["transactions"], between]})
+    store = event_store(spark, tmp_path, old, old_policy)
+    loaded = bd.merge_change_events(store, new, policy, inc.source_marks(old)).collect()
+    changes = sorted((e["ChangeEvent"]["PreviousZipCode"], e["ChangeEvent"]["ZipCode"]) for e in loaded)
+    assert changes == [("1", "5"), ("5", "2")]
+
+
+def test_only_late_and_unseen_policies_read_old_transactions(spark):
+    old, _, _ = entities(spark, **BEFORE)
+    new, policy, _ = entities(spark, **AFTER)
+    tails = el.history_tails(old.transactions())
+    onward, whole = el.changed_history(new, tails, inc.source_marks(old).transactions)
+    assert [r[0] for r in whole.collect()] == ["D"]
+    assert [(r[el.KEY], str(r["EffectiveDate"])) for r in onward.collect()] == [("A", "2025-03-01")]
+    load = el.event_load(new, policy, tails, inc.source_marks(old).transactions)
+    assert sorted(r[el.KEY] for r in load.tails.collect()) == ["A", "D"]
+
+
+def test_event_load_twice_changes_nothing(spark, tmp_path):
+    new, policy, events = entities(spark, **AFTER)
+    store = event_store(spark, tmp_path, new, policy)
+    for marks in (inc.source_marks(new), inc.Marks(), inc.Marks()):
+        assert text(bd.merge_change_events(store, new, policy, marks)) == text(events)
 
 
-def test_event_load_twice_changes_nothing(spark):
-    new, policy, events = entities(spark, **AFTER)
-    seen = inc.transaction_keys(new)
-    none = inc.event_changed_keys(new, seen, inc.source_marks(new))
-    assert none.count() == 0
-    # Even with a stale mark the merge adds nothing.
-    every = inc.event_changed_keys(new, seen, inc.Marks())
-    assert every.count() == 4
-    assert inc.change_event_delta(events, new, policy, every).count() == 0
+@pytest.mark.parametrize("done", ["ChangeEventRaw", "ChangeEventTails"])
+def test_a_load_that_failed_half_way_is_repeated(spark, tmp_path, done):
+    """After the events, or after the tails too, were stored and before the marks were."""
+    old, old_policy, _ = entities(spark, **BEFORE)
+    new, policy, rebuilt = entities(spark, **{**AFTER, "policy_stats": BEFORE["policy_stats"]})
+    store, marks = event_store(spark, tmp_path, old, old_policy), inc.source_marks(old)
+    if done == "ChangeEventRaw":
+        load = el.event_load(new, policy, store.read("ChangeEventTails"), marks.transactions)
+        store.merge("ChangeEventRaw", load.events, el.NUMBER, load.replaced, str(marks.transactions))
+    else:
+        bd.merge_change_events(store, new, policy, marks)
+    assert text(bd.merge_change_events(store, new, policy, marks)) == text(rebuilt)
 
 
 def test_survey_lookback_recomputes_recent_waves_only(spark):
