@@ -18,7 +18,7 @@ WHITE_BYTES = WHITE.encode()
 
 # Rows and bytes of one Arrow batch. Texts may be long, so batches are short.
 BATCH_ROWS = 512
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
