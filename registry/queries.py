@@ -89,20 +89,22 @@ class Tables:
     def responses(self) -> DataFrame:
         return self._once("responses", lambda: sv.all_responses(self.sources))
 
+    def totals(self) -> DataFrame:
+        return self._once("totals", lambda: sv.wave_measures(self.responses()))
+
     def policy_metrics(self) -> DataFrame:
         return mt.policy_metrics(self.policy(), self.events(), self.responses(), as_of=AS_OF)
 
     def policy_wide(self) -> DataFrame:
         return self._once(
-            "policy_wide", lambda: wd.policy_wide(self.policy(), self.policy_metrics())
+            "policy_wide",
+            lambda: wd.policy_wide(self.policy(), self.events(), self.responses(), AS_OF),
         )
 
     def survey_wide(self) -> DataFrame:
         return self._once(
             "survey_wide",
-            lambda: wd.survey_wide(
-                self.survey(), mt.survey_metrics(self.survey(), self.responses())
-            ),
+            lambda: wd.survey_wide(self.survey(), self.responses()),
         )
 
     def contact_events(self) -> DataFrame:
@@ -275,18 +277,28 @@ def _late_events(t: Tables) -> DataFrame:
 
 def _survey_lookback(t: Tables) -> DataFrame:
     before = t.earlier()
-    survey, _ = inc.load_survey(before.survey(), before.responses(), t.sources)
-    return flat(survey)
+    load = inc.survey_load(before.survey(), before.responses(), before.totals(), t.sources)
+    return flat(load.survey)
 
 
 def _survey_lookback_responses(t: Tables) -> DataFrame:
+    """Totals by wave: the stored ones as the load changed them, which those of the
+    merged responses must equal."""
     before = t.earlier()
-    _, responses = inc.load_survey(before.survey(), before.responses(), t.sources)
-    return sv.wave_measures(responses).select(
+    load = inc.survey_load(before.survey(), before.responses(), before.totals(), t.sources)
+    store = _store(t)
+    store.deal("SurveyResponses", before.responses(), "ResponseId")
+    merged = store.merge("SurveyResponses", load.responses, "ResponseId", load.replaced)
+    again = sv.wave_measures(merged).select(
+        "SurveyType", "InviteWave", F.col("ResponseCount").alias("n"), F.col("ScoreSum").alias("s")
+    )
+    totals = load.totals.where("ResponseCount > 0").join(again, ["SurveyType", "InviteWave"], "full")
+    both = lambda a, b: F.when(F.col(a).eqNullSafe(F.col(b)), F.col(a).cast("bigint"))
+    return totals.select(
         "SurveyType",
         "InviteWave",
-        F.col("ResponseCount").alias("responses"),
-        F.col("ScoreSum").cast("bigint").alias("score_sum"),
+        both("ResponseCount", "n").alias("responses"),
+        both("ScoreSum", "s").alias("score_sum"),
     )
 
 
@@ -468,17 +480,13 @@ def queries() -> dict[str, Query]:
 
     # Wide tables.
     q["policy_wide_flat"] = _on(
-        lambda t: flat(wd.policy_wide(t.policy(), t.policy_metrics()))
+        lambda t: flat(wd.policy_wide(t.policy(), t.events(), t.responses(), AS_OF))
     )
     q["change_event_wide_flat"] = _on(
-        lambda t: flat(
-            wd.change_event_wide(t.events(), mt.event_metrics(t.events(), t.policy()))
-        )
+        lambda t: flat(wd.change_event_wide(t.events(), t.policy()))
     )
     q["survey_wide_flat"] = _on(
-        lambda t: flat(
-            wd.survey_wide(t.survey(), mt.survey_metrics(t.survey(), t.responses()))
-        )
+        lambda t: flat(wd.survey_wide(t.survey(), t.responses()))
     )
     q["contact_wide_flat"] = _on(
         lambda t: flat(wd.contact_wide(ct.contact_entity(t.sources.contacts())))

@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scorecard.operators import quality
 from scorecard.operators.keys import settled
 from scorecard.operators.staging import stage
-from scorecard.operators.upsert import insert_new, upsert
-from scorecard.plans import event_load, incremental
+from scorecard.operators.upsert import insert_new
+from scorecard.plans import event_load, incremental, wide
 from scorecard.plans.change_event import change_event_entity
 from scorecard.plans.contact import (
     all_contact_events,
@@ -20,11 +21,9 @@ from scorecard.plans.contact import (
     contact_events_by_contact,
     shared_links,
 )
-from scorecard.plans.metrics import event_metrics, policy_metrics, survey_metrics
 from scorecard.plans.policy import policy_entity
-from scorecard.plans.survey import all_campaigns, all_responses, survey_entity
+from scorecard.plans.survey import all_campaigns, all_responses, survey_entity, wave_measures
 from scorecard.plans.views import DEFAULT_LOAD_MONTH, register_views
-from scorecard.plans.wide import change_event_wide, contact_wide, policy_wide, survey_wide
 from scorecard.sources.tables import Sources
 from scorecard.store import TableStore
 
@@ -121,22 +120,37 @@ def _build_change_events(
 
 def _build_survey(
     store: TableStore, sources: Sources, incremental_run: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Responses are matched to their waves once and stored; counts follow."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Waves, responses and totals. Responses are matched to their waves once and
+    stored; their totals by wave are stored too, and loads change them."""
     if not incremental_run:
-        responses = store.replace("SurveyResponses", all_responses(sources))
-        return (
-            store.replace("SurveyRaw", survey_entity(all_campaigns(sources, None, responses))),
-            responses,
-        )
-    previous, old_responses = store.read("SurveyRaw"), store.read("SurveyResponses")
-    starts = incremental.lookback_waves(previous)
-    fresh = stage(all_responses(sources, starts), "survey-responses")
-    waves = survey_entity(all_campaigns(sources, starts, fresh))
-    responses = store.replace(
-        "SurveyResponses", incremental.merge_responses(old_responses, fresh, starts)
-    )
-    return store.replace("SurveyRaw", upsert(previous, waves)), responses
+        responses = store.deal("SurveyResponses", all_responses(sources), "ResponseId")
+        totals = _store_totals(store, wave_measures(responses))
+        entity = survey_entity(all_campaigns(sources, None, responses))
+        return store.replace("SurveyRaw", entity), responses, totals
+    return merge_survey(store, sources)
+
+
+def _store_totals(store: TableStore, totals: DataFrame) -> DataFrame:
+    """Totals with the version of the responses that they are the totals of."""
+    return store.replace("SurveyTotals", totals.withColumn("Of", F.lit(store.version("SurveyResponses"))))
+
+
+def merge_survey(store: TableStore, sources: Sources) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored waves, responses and totals with what changed from the look-back on.
+
+    Responses are stored before their totals. Totals of another version are left by a
+    load that failed between the two, and are counted again.
+    """
+    responses, totals = store.read("SurveyResponses"), store.read("SurveyTotals")
+    if totals.where(F.col("Of") != store.version("SurveyResponses")).isEmpty():
+        totals = totals.drop("Of")
+    else:
+        totals = wave_measures(responses)
+    load = incremental.survey_load(store.read("SurveyRaw"), responses, totals, sources)
+    responses = store.merge("SurveyResponses", load.responses, "ResponseId", load.replaced)
+    totals = _store_totals(store, load.totals)
+    return store.replace("SurveyRaw", load.survey), responses, totals
 
 
 def _build_contact(
@@ -190,9 +204,9 @@ def quality_report(store: TableStore, as_of: datetime) -> dict[str, int]:
         },
     }
     report.update({name: df.count() for name, df in failing.items()})
-    for name, wide in WIDE_PAIRS:
-        report[f"{wide} as many rows as {name}"] = abs(
-            store.read(name).count() - store.read(wide).count()
+    for name, other in WIDE_PAIRS:
+        report[f"{other} as many rows as {name}"] = abs(
+            store.read(name).count() - store.read(other).count()
         )
     return report
 
@@ -222,19 +236,19 @@ def build(
 
     policy = _build_policy(store, sources, marks)
     events = _build_change_events(store, sources, policy, marks)
-    survey, responses = _build_survey(store, sources, reuse)
+    survey, responses, totals = _build_survey(store, sources, reuse)
     contact, _ = _build_contact(store, sources, contact_link)
 
-    of_policy = store.replace(
-        "PolicyMetrics", policy_metrics(policy, events, responses, as_of=as_of)
-    )
-    of_event = store.replace("ChangeEventMetrics", event_metrics(events, policy))
-    of_survey = store.replace("SurveyMetrics", survey_metrics(survey, responses))
-
-    wide_policy = store.replace("PolicyWide", policy_wide(policy, of_policy))
-    store.replace("ChangeEventWide", change_event_wide(events, of_event))
-    wide_survey = store.replace("SurveyWide", survey_wide(survey, of_survey))
-    store.replace("ContactWide", contact_wide(contact))
+    wide_policy = store.replace("PolicyWide", wide.policy_wide(policy, events, responses, as_of))
+    wide_event = store.replace("ChangeEventWide", wide.change_event_wide(events, policy))
+    wide_survey = store.replace("SurveyWide", wide.survey_wide(survey, responses, totals))
+    store.replace("ContactWide", wide.contact_wide(contact))
+    for name, table, key in (
+        ("PolicyMetrics", wide_policy, wide.policy_key()),
+        ("ChangeEventMetrics", wide_event, wide.change_event_key()),
+        ("SurveyMetrics", wide_survey, wide.survey_key()),
+    ):
+        store.replace(name, wide.metrics_of(table, key))
 
     register_views(wide_policy, wide_survey, onboarding_entities, load_month)
     _write_marks(store, next_marks)

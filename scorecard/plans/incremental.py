@@ -26,8 +26,18 @@ from scorecard.operators.keys import (
 from scorecard.operators.staging import stage
 from scorecard.operators.upsert import upsert
 from scorecard.plans.policy import SPINE_FIELDS, policy_entity
-from scorecard.plans.survey import FromWaves, all_campaigns, all_responses, survey_entity
-from scorecard.sources.tables import Sources
+from scorecard.plans.survey import (
+    FromWaves,
+    all_responses,
+    campaigns,
+    changed_totals,
+    invited_policies,
+    invites_sent,
+    survey_entity,
+    union_all,
+    wave_measures,
+)
+from scorecard.sources.tables import SURVEY_TYPES, Sources
 
 LOOKBACK_MONTHS = 3
 KEY = "plcy_cntrct_num"
@@ -126,44 +136,93 @@ def lookback_waves(previous: DataFrame) -> FromWaves:
     return {r["t"]: months_before(r["w"], LOOKBACK_MONTHS) for r in newest if r["w"] is not None}
 
 
-def survey_delta(sources: Sources, from_waves: FromWaves) -> tuple[DataFrame, DataFrame]:
-    """Recomputed waves, and the responses that count in them."""
-    responses = all_responses(sources, from_waves)
-    return survey_entity(all_campaigns(sources, from_waves, responses)), responses
+@dataclass(frozen=True)
+class SurveyLoad:
+    """The next version of the waves and of their totals; the responses that are new or
+    differ, and the ids whose stored rows they replace."""
+
+    survey: DataFrame
+    totals: DataFrame
+    responses: DataFrame
+    replaced: DataFrame
 
 
-def merge_responses(
-    previous: DataFrame, fresh: DataFrame, from_waves: FromWaves
-) -> DataFrame:
-    """Each response keeps its waves from before the look-back and takes the
-    recomputed ones after it. A response left without a wave is dropped."""
+def compared_responses(previous: DataFrame, fresh: DataFrame, from_waves: FromWaves, invited: list[str]) -> DataFrame:
+    """Stored and next row of every response, null where there is none.
+
+    With invites, a response keeps its waves from before the look-back and takes the
+    recomputed ones after it. Without, its one wave is its month: one delivered again
+    moves there. A response left without a wave is gone.
+    """
     on = ["SurveyType", "ResponseId"]
     start = F.lit(None).cast("date")
     for survey_type, day in from_waves.items():
         start = F.when(F.col("SurveyType") == survey_type, date_lit(day)).otherwise(start)
-    kept = previous.withColumn("_start", start).withColumn(
-        "InviteWaves", F.filter("InviteWaves", lambda w: w < F.col("_start"))
-    )
-    fields = [c for c in previous.columns if c not in (*on, "InviteWaves")]
-    old = kept.select(*on, F.struct(*fields).alias("_old"), F.col("InviteWaves").alias("_before"))
-    new = fresh.select(*on, F.struct(*fields).alias("_new"), F.col("InviteWaves").alias("_after"))
+    fields = [c for c in previous.columns if c not in on]
+    row = lambda name: F.struct(*fields).alias(name)
+    joined = previous.select(*on, row("old")).join(fresh.select(*on, row("new")), on, "full")
+    joined = joined.withColumn("start", start)
     none = F.array().cast("array<date>")
-    merged = old.join(new, on, "full").select(
-        *on,
-        F.coalesce("_new", "_old").alias("_row"),
-        F.concat(F.coalesce("_before", none), F.coalesce("_after", none)).alias("InviteWaves"),
+    before = F.filter(F.coalesce("old.InviteWaves", none), lambda w: w < F.col("start"))
+    after = F.coalesce("new.InviteWaves", none)
+    moved = ~F.col("SurveyType").isin(invited) & F.col("new").isNotNull()
+    waves = F.when(moved, after).otherwise(F.concat(before, after))
+    kept = F.coalesce("new", "old").withField("InviteWaves", waves)
+    return joined.select(*on, "old", F.when(F.size(waves) > 0, kept).alias("new"))
+
+
+def survey_load(
+    previous: DataFrame, previous_responses: DataFrame, totals: DataFrame, sources: Sources
+) -> SurveyLoad:
+    """Waves from the look-back on, by the responses that came, changed or went.
+
+    Totals of waves are stored: only responses that differ are taken off them with
+    their old values and added with their new ones. Waves before the look-back keep
+    the invites they were stored with.
+    """
+    from_waves = lookback_waves(previous)
+    invited = [t for t in SURVEY_TYPES if sources.invites(t) is not None]
+    fresh = all_responses(sources, from_waves)
+    compared = compared_responses(previous_responses, fresh, from_waves, invited)
+    changed = stage(compared.where(~F.col("old").eqNullSafe(F.col("new"))), "survey-changes")
+    rows = lambda df, name: df.where(F.col(name).isNotNull()).select(
+        "SurveyType", "ResponseId", f"{name}.*"
+    ).select(previous_responses.columns)
+    came, went = rows(changed, "new"), rows(changed, "old")
+    next_totals = stage(changed_totals(totals, came, went), "survey-totals")
+    waves = previous.select("Survey.*")
+    starts = F.lit(None).cast("date")
+    for survey_type, day in from_waves.items():
+        starts = F.when(F.col("SurveyType") == survey_type, date_lit(day)).otherwise(starts)
+    stored = waves.where(F.col("SurveyType").isin(invited) & (F.col("InviteWave") < starts))
+    sent = invites_sent(
+        union_all([invited_policies(sources.invites(t), t, from_waves.get(t)) for t in invited])
+    ).unionByName(stored.select("SurveyType", "InviteWave", "InvitesSent"))
+    has_invites = F.col("SurveyType").isin(invited)
+    survey = survey_entity(
+        union_all(
+            [
+                campaigns(sent, next_totals.where(has_invites)),
+                campaigns(None, next_totals.where(~has_invites)),
+            ]
+        )
     )
-    return (
-        merged.where(F.size("InviteWaves") > 0)
-        .select(*on, "_row.*", "InviteWaves")
-        .select(*previous.columns)
+    # Ids are unique by survey type alone: rows of other types with a changed id stay.
+    ids = changed.select("ResponseId").distinct()
+    same = (
+        previous_responses.join(ids, "ResponseId", "left_semi")
+        .join(changed.select("SurveyType", "ResponseId"), ["SurveyType", "ResponseId"], "left_anti")
+        .select(previous_responses.columns)
     )
+    return SurveyLoad(survey, next_totals, stage(came.unionByName(same), "survey-delta"), ids)
 
 
 def load_survey(
-    previous: DataFrame, previous_responses: DataFrame, sources: Sources
+    previous: DataFrame, previous_responses: DataFrame, sources: Sources, totals: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The next version of the Survey entity and of its responses."""
-    from_waves = lookback_waves(previous)
-    waves, fresh = survey_delta(sources, from_waves)
-    return upsert(previous, waves), merge_responses(previous_responses, fresh, from_waves)
+    if totals is None:
+        totals = wave_measures(previous_responses)
+    load = survey_load(previous, previous_responses, totals, sources)
+    kept = previous_responses.join(load.replaced, "ResponseId", "left_anti").select(previous_responses.columns)
+    return load.survey, kept.unionByName(load.responses)

@@ -56,8 +56,9 @@ def event_metrics(
     policy: DataFrame,
     names: Sequence[str] = EVENT_METRICS,
     hot: HotKeys | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``[ID, metric...]``, one row per event."""
+    """``[ID, metric...]``, one row per event; ``keep`` names columns that stay."""
     rules = {
         "IsZipChangeEvent": is_zip_change_event(),
         "IsAgentChangeEvent": is_agent_change_event(),
@@ -70,7 +71,7 @@ def event_metrics(
         if hot is None:
             hot = find_hot_keys(keyed, "PolicyID")
         events = lookup_join(keyed, _cancellations(policy), "PolicyID", hot)
-    return events.select("ID", *[rules[n].alias(n) for n in names])
+    return events.select("ID", *keep, *[rules[n].alias(n) for n in names])
 
 
 # ------------------------------------------------------ policy grain, row-local
@@ -239,8 +240,9 @@ def policy_metrics(
     as_of: date | None = None,
     names: Sequence[str] = POLICY_METRICS,
     stop_at_cancellation: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``[ID, metric...]``, exactly one row per policy.
+    """``[ID, metric...]``, exactly one row per policy; ``keep`` names columns that stay.
 
     At most two joins on ``ID``, whatever the number of metrics.
     """
@@ -253,7 +255,7 @@ def policy_metrics(
     if "TenureDays" in local and as_of is None:
         raise ValueError("TenureDays needs as_of")
     rules = _local_rules(as_of or date(1970, 1, 1), stop_at_cancellation)
-    result = policy.select("ID", *[rules[n].alias(n) for n in local])
+    result = policy.select("ID", *keep, *[rules[n].alias(n) for n in local])
     if from_events:
         if events is None:
             raise ValueError(f"{from_events} need change events")
@@ -264,6 +266,7 @@ def policy_metrics(
         result = result.join(survey_rollup(responses, from_surveys), "ID", "left")
     return result.select(
         "ID",
+        *keep,
         *[(EVENT_ROLLUP_METRICS[n]() if n in from_events else F.col(n)).alias(n) for n in names],
     )
 
@@ -293,12 +296,22 @@ _WAVE_MEASURE = {
 
 
 def survey_metrics(
-    survey: DataFrame, responses: DataFrame, names: Sequence[str] = SURVEY_METRICS
+    survey: DataFrame,
+    responses: DataFrame,
+    names: Sequence[str] = SURVEY_METRICS,
+    keep: Sequence[str] = (),
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """``[ID, metric...]``, one row per wave; null where the wave is of another type."""
+    """``[ID, metric...]``, one row per wave; null where the wave is of another type.
+
+    Only responses of the survey types that the metrics are about are read, and none
+    where their ``totals`` (``wave_measures``) are at hand.
+    """
     result = survey
-    if set(names) != {"AgentChangeResponseRate"}:
-        totals = wave_measures(responses)
+    kinds = sorted({SURVEY_TYPE_OF[n] for n in names if n != "AgentChangeResponseRate"})
+    if kinds:
+        if totals is None:
+            totals = wave_measures(responses.where(F.col("SurveyType").isin(kinds)))
         result = survey.join(
             totals.select(
                 survey_id().alias("ID"),
@@ -317,7 +330,7 @@ def survey_metrics(
             source = F.when(n > 0, F.col(f"{measure}Sum") / n)
         return F.when(F.col("Survey.SurveyType") == SURVEY_TYPE_OF[name], source).alias(name)
 
-    return result.select("ID", *[value(n) for n in names])
+    return result.select("ID", *keep, *[value(n) for n in names])
 
 
 def survey_metric(survey: DataFrame, responses: DataFrame, name: str) -> DataFrame:

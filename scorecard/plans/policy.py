@@ -96,10 +96,11 @@ def monthly_history(monthly_snapshots: DataFrame) -> DataFrame:
     """Snapshots nested per policy, by month.
 
     The input holds one row per policy and month, so an array is as long as the
-    calendar.
+    calendar. Snapshots without a policy number belong to no policy and no array.
     """
     return (
         monthly_snapshot_rows(monthly_snapshots)
+        .where(F.col("plcy_cntrct_num").isNotNull())
         .groupBy("plcy_cntrct_num")
         .agg(
             ordered_array([F.col("snap_yr_mo_cd")], F.col("Snapshot")).alias("MonthlySnapshots")

@@ -8,7 +8,7 @@ with their responses nested are built on request, where an array can hold them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, time
 from functools import reduce
@@ -74,10 +74,21 @@ RESPONSE_COLUMNS = {
 NUMERIC_DETAILS = {*(f"ProcessRating{i}" for i in range(1, 7)), "DaysWithoutAgent"}
 
 
-def typed_responses(
+def newest_responses(shaped: DataFrame) -> DataFrame:
+    """A response delivered again is still one response: its newest row counts."""
+    rest = [c for c in shaped.columns if c not in ("SurveyType", "ResponseId", "ResponseDate")]
+    return latest_per_key(shaped, ["SurveyType", "ResponseId"], ["ResponseDate"], rest)
+
+
+def typed_responses(responses: DataFrame, survey_type: str) -> DataFrame:
+    """The responses of one survey type in the common shape, each id once."""
+    return newest_responses(shaped_responses(responses, survey_type))
+
+
+def shaped_responses(
     responses: DataFrame, survey_type: str, from_day: date | None = None
 ) -> DataFrame:
-    """Responses in the common shape; a field the type lacks is a typed null."""
+    """Rows in the common shape; a field the type lacks is a typed null."""
     columns = RESPONSE_COLUMNS[survey_type]
 
     def detail(name: str) -> Column:
@@ -90,7 +101,7 @@ def typed_responses(
     if from_day is not None:
         start = datetime.combine(from_day, time.min)
         responses = responses.where(F.col("startdate") >= timestamp_lit(start))
-    typed = responses.where(F.col("responseid").isNotNull()).select(
+    return responses.where(F.col("responseid").isNotNull()).select(
         F.lit(survey_type).alias("SurveyType"),
         F.col(columns.policy).alias("PolicyNumber"),
         F.col("responseid").alias("ResponseId"),
@@ -98,9 +109,6 @@ def typed_responses(
         try_number(F.col(columns.score)).alias("NpsScore"),
         *[detail(name) for name in AGENT_CHANGE_DETAILS],
     )
-    # A response delivered again is still one response: its newest row counts.
-    rest = [c for c in typed.columns if c not in ("SurveyType", "ResponseId", "ResponseDate")]
-    return latest_per_key(typed, ["SurveyType", "ResponseId"], ["ResponseDate"], rest)
 
 
 def invited_policies(
@@ -167,6 +175,7 @@ def _sum_and_count(name: str, value: Column) -> list[Column]:
 
 
 MEASURES = ("Score", "Days", "MeetsNeeds", "NoLetter")
+TOTALS = ("ResponseCount", *(f"{m}{part}" for m in MEASURES for part in ("Sum", "Count")))
 
 
 def _is(answer: str, value: str) -> Column:
@@ -187,23 +196,44 @@ def wave_measures(responses: DataFrame) -> DataFrame:
         *_sum_and_count("MeetsNeeds", _is("MeetsNeedsFlag", "Y")),
         *_sum_and_count("NoLetter", _is("ReceivedLetterFlag", "N")),
     )
-    totals = ["ResponseCount", *(f"{m}{part}" for m in MEASURES for part in ("Sum", "Count"))]
+    return added_totals([per_set.withColumn("InviteWave", F.explode("InviteWaves"))])
+
+
+def added_totals(parts: Sequence[DataFrame]) -> DataFrame:
+    """Totals of waves from totals of parts of their responses."""
+    columns = ["SurveyType", "InviteWave", *TOTALS]
     return (
-        per_set.withColumn("InviteWave", F.explode("InviteWaves"))
+        union_all([p.select(*columns) for p in parts])
         .groupBy("SurveyType", "InviteWave")
-        .agg(*[F.sum(c).alias(c) for c in totals])
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS])
+    )
+
+
+def changed_totals(totals: DataFrame, came: DataFrame, went: DataFrame) -> DataFrame:
+    """Totals after responses came and went; scores are whole numbers, so sums stay exact."""
+    less = wave_measures(went).select(
+        "SurveyType", "InviteWave", *[(-F.col(c)).alias(c) for c in TOTALS]
     )
+    return added_totals([totals, wave_measures(came), less])
 
 
 def survey_campaign(invited: DataFrame | None, responses: DataFrame) -> DataFrame:
     """Per type and wave: policies invited and responses received."""
-    received = wave_measures(responses).select("SurveyType", "InviteWave", "ResponseCount")
-    if invited is None:
-        waves = received.withColumn("InvitesSent", null_of("bigint"))
+    return campaigns(None if invited is None else invites_sent(invited), wave_measures(responses))
+
+
+def invites_sent(invited: DataFrame) -> DataFrame:
+    return invited.groupBy("SurveyType", "InviteWave").agg(
+        F.count("PolicyNumber").alias("InvitesSent")
+    )
+
+
+def campaigns(sent: DataFrame | None, totals: DataFrame) -> DataFrame:
+    """Waves with their counts and rate; waves without invites are those of responses."""
+    received = totals.select("SurveyType", "InviteWave", "ResponseCount")
+    if sent is None:
+        waves = received.where("ResponseCount > 0").withColumn("InvitesSent", null_of("bigint"))
     else:
-        sent = invited.groupBy("SurveyType", "InviteWave").agg(
-            F.count("PolicyNumber").alias("InvitesSent")
-        )
         waves = sent.join(received, ["SurveyType", "InviteWave"], "left").fillna(
             0, ["ResponseCount"]
         )
@@ -288,9 +318,14 @@ def _inputs(
     return (
         (
             union_all([invited_policies(sources.invites(t), t, starts.get(t)) for t in with_invites]),
-            union_all([typed_responses(sources.responses(t), t) for t in with_invites]),
+            newest_responses(union_all([shaped_responses(sources.responses(t), t) for t in with_invites])),
+        ),
+        (
+            None,
+            newest_responses(
+                union_all([shaped_responses(sources.responses(t), t, starts.get(t)) for t in without])
+            ),
         ),
-        (None, union_all([typed_responses(sources.responses(t), t, starts.get(t)) for t in without])),
     )
 
 

@@ -24,9 +24,10 @@ DELTA = "delta"
 LIST = "list"
 DATA = "data"
 
-# Buckets of a dealt table. More make smaller rewrites; a list has at most
-# ``FOLDERS`` rows for each, and a bucket with more is put together again.
-BUCKETS = 64
+# Buckets of a dealt table; choose so many that one holds some 100 MB to 1 GB, for
+# small rewrites. A list has at most ``FOLDERS`` rows for each: a bucket with more is
+# put together again.
+BUCKETS = 16
 FOLDERS = 8
 LIST_SCHEMA = "bucket int, buckets int, folder string, label string, schema string"
 # The row of a list that has the schema, in place of a folder.
@@ -69,6 +70,10 @@ class TableStore:
         used = [int(v.split("-")[1]) for v in self._versions(name, (FULL, DELTA, LIST, DATA), committed=False)]
         return f"{max(used, default=0) + 1:06d}"
 
+    def version(self, name: str) -> str:
+        """The name of what is read now."""
+        return self._current(name)[-1]
+
     def exists(self, name: str) -> bool:
         return bool(self._current(name))
 

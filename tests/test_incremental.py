@@ -7,7 +7,7 @@ from scorecard.operators.upsert import insert_new, upsert
 from scorecard.plans import build as bd
 from scorecard.plans import event_load as el
 from scorecard.plans import incremental as inc
-from scorecard.plans.survey import all_campaigns, all_responses, by_wave, survey_entity
+from scorecard.plans.survey import all_campaigns, all_responses, by_wave, survey_entity, wave_measures
 from scorecard.store import TableStore
 from tests.frames import answer, entities, invite, snap, sources, spine, stat, txn
 
@@ -189,6 +189,71 @@ def test_survey_lookback_recomputes_recent_waves_only(spark):
     assert text(survey2) == text(survey) and text(responses2) == text(responses)
 
 
+def loaded_survey(spark, old, new):
+    """A load of ``new`` after ``old``, from stored totals, and what a rebuild gives."""
+    stored, responses = survey_entity(all_campaigns(old)), all_responses(old)
+    load = inc.survey_load(stored, responses, wave_measures(responses), new)
+    _, merged = inc.load_survey(stored, responses, new)
+    whole = all_responses(new)
+    return load, merged, survey_entity(all_campaigns(new)), whole, wave_measures(whole)
+
+
+def test_totals_follow_responses_that_move_repeat_and_go(spark):
+    invites = [invite("P", "2025-06-05"), invite("Q", "2025-06-05"), invite("Q", "2025-08-05")]
+    old = sources(
+        spark,
+        invites_agent_change=invites,
+        responses_agent_change=[answer("R1", "P", "5"), answer("R2", "Q", "4"), answer("R3", "Q", "1")],
+        responses_rnps=[answer("N1", "P", "3", "2025-01-10"), answer("N2", "P", "9", "2025-06-10"),
+                        answer("R1", "P", "8", "2025-06-11"), answer("N3", "P", "2", "2025-06-12")],
+    )
+    new = sources(
+        spark,
+        invites_agent_change=[*invites, invite("P", "2025-07-05")],
+        responses_agent_change=[
+            answer("R1", "P", "7", "2026-01-20"),  # answered again
+            answer("R1", "P", "5"),
+            answer("R2", "P", "4"),  # another policy now; R3 is gone
+            answer("R4", "Q", None, meet_needs="Y"),
+        ],
+        responses_rnps=[answer("N1", "P", "3", "2025-01-10"),
+                        answer("N1", "P", "6", "2025-07-10"),  # from before the look-back
+                        answer("N2", "P", "9", "2025-06-10"), answer("R1", "P", "8", "2025-06-11")],
+    )
+    load, merged, rebuilt, whole, totals = loaded_survey(spark, old, new)
+    assert text(load.survey) == text(rebuilt)
+    assert text(merged) == text(whole)
+    kept = load.totals.where("ResponseCount > 0")
+    assert text(kept) == text(totals.select(kept.columns))
+    # The untouched N2 is in no delta; the other survey's R1 only keeps its row.
+    assert sorted((r["SurveyType"], r["ResponseId"]) for r in load.responses.collect()) == [
+        ("AGENT_CHANGE", "R1"), ("AGENT_CHANGE", "R2"), ("AGENT_CHANGE", "R4"), ("RNPS", "N1"), ("RNPS", "R1")
+    ]
+
+
+def test_totals_of_a_load_that_failed_half_way_are_counted_again(spark, tmp_path):
+    old = sources(spark, responses_rnps=[answer("N1", "P", "3", "2025-06-10")])
+    new = sources(spark, responses_rnps=[answer("N1", "P", "3", "2025-06-10"), answer("N2", "P", "9", "2025-06-11")])
+    store = TableStore(spark, str(tmp_path), buckets=2)
+    bd._build_survey(store, old, False)
+    load = inc.survey_load(store.read("SurveyRaw"), store.read("SurveyResponses"), store.read("SurveyTotals").drop("Of"), new)
+    store.merge("SurveyResponses", load.responses, "ResponseId", load.replaced)
+    for _ in range(2):
+        survey, _, totals = bd.merge_survey(store, new)
+        assert [(r["ResponseCount"], r["ScoreSum"]) for r in totals.collect()] == [(2, 12.0)]
+        assert text(survey) == text(survey_entity(all_campaigns(new)))
+
+
+def test_a_load_without_changes_has_no_delta(spark):
+    given = sources(
+        spark, invites_agent_change=[invite("P", "2025-06-05")],
+        responses_agent_change=[answer("R1", "P", "5")], responses_css_ces=[answer("C", "P", "3")],
+    )
+    load, merged, rebuilt, whole, _ = loaded_survey(spark, given, given)
+    assert load.responses.count() == 0 and load.replaced.count() == 0
+    assert text(load.survey) == text(rebuilt) and text(merged) == text(whole)
+
+
 def test_upsert_and_insert(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "ID string, v int")
     delta = spark.createDataFrame([("b", 20), ("c", 30)], "ID string, v int")
