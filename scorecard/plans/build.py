@@ -25,7 +25,7 @@ from scorecard.plans.policy import policy_entity
 from scorecard.plans.survey import all_campaigns, all_responses, survey_entity, wave_measures
 from scorecard.plans.views import DEFAULT_LOAD_MONTH, register_views
 from scorecard.sources.tables import Sources
-from scorecard.store import TableStore
+from scorecard.store import BUCKETS, TableStore
 
 # Tables whose second has exactly the rows of the first.
 GRAIN_PAIRS = (
@@ -221,15 +221,17 @@ def build(
     contact_link: ContactLink | None = None,
     onboarding_entities: Mapping[str, str] | None = None,
     load_month: str = DEFAULT_LOAD_MONTH,
+    buckets: int = BUCKETS,
 ) -> dict[str, int]:
     """Build every table under ``out_dir``, register the views, run the checks.
 
     The first run, and any run with ``full_refresh``, starts from nothing; other
-    runs merge what changed. Marks are read from the sources first and stored
-    last, so a failed run is simply repeated. Returns the quality report of the
-    inputs and of the stored tables.
+    runs merge what changed, in the buckets that change (each dealt table has
+    ``buckets`` from its first run or full refresh on). Marks are read from the
+    sources first and stored last, so a failed run is simply repeated. Returns the
+    quality report of the inputs and of the stored tables.
     """
-    store = TableStore(spark, out_dir)
+    store = TableStore(spark, out_dir, buckets)
     reuse = store.exists("Watermarks") and not full_refresh
     marks = _read_marks(store) if reuse else None
     next_marks = incremental.source_marks(sources)

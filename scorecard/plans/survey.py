@@ -206,6 +206,8 @@ def added_totals(parts: Sequence[DataFrame]) -> DataFrame:
         union_all([p.select(*columns) for p in parts])
         .groupBy("SurveyType", "InviteWave")
         .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS])
+        # A sum of no values is unknown.
+        .withColumns({f"{m}Sum": F.when(F.col(f"{m}Count") > 0, F.col(f"{m}Sum")) for m in MEASURES})
     )
 
 
