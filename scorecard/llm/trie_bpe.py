@@ -33,6 +33,8 @@ from scorecard.llm.common import prepare, texts_of
 MEMORY_CHUNKS = 300_000
 # Bytes of a path's end by which the lengths of tokens ending there are looked up.
 END_BYTES = 4
+# What single bytes are made from.
+BYTE = (0, 0, -1)
 
 
 class Recent:
@@ -87,6 +89,8 @@ class TrieEncoder:
         self.joined = {
             pair: self.ids[self.bytes[pair[0]] + self.bytes[pair[1]]] for pair in self.rank
         }
+        # The two tokens that each token was merged from last, and the rank of that.
+        self.made = {self.joined[pair]: (*pair, n) for pair, n in reversed(self.rank.items())}
         self.added = {t["content"]: t["id"] for t in described.get("added_tokens", [])}
         self.bytes.update({n: content.encode() for content, n in self.added.items()})
         self.added_split = (
@@ -120,16 +124,36 @@ class TrieEncoder:
         return ids
 
     def may_follow(self, left: int, right: int) -> bool:
-        """Whether the bytes of two tokens encode to just these tokens."""
+        """Whether the bytes of two tokens encode to just these tokens.
+
+        Merges are taken back from the last one on, the right token's first where ranks
+        are equal. The tokens stay apart unless what then meets at their border would
+        have been merged before what was just taken back.
+        """
         known = self.follows.get((left, right))
         if known is None:
-            data = self.bytes[left] + self.bytes[right]
-            known = self.merged([self.ids[bytes([b])] for b in data]) == [left, right]
+            known = self._is_own(right) and self._apart(left, right)
             if len(self.follows) > 1_000_000:
                 self.follows.clear()
             self.follows[left, right] = known
         return known
 
+    def _apart(self, left: int, right: int) -> bool:
+        made, rank = self.made, self.rank
+        limit = len(rank)
+        while True:
+            across = rank.get((left, right))
+            if across is not None and across < limit:
+                return False
+            _, inner, first = made.get(left, BYTE)
+            outer, _, second = made.get(right, BYTE)
+            if first > second:
+                left, limit = inner, first
+            elif second >= 0:
+                right, limit = outer, second + 1
+            else:
+                return True
+
     def _lengths(self, end: bytes) -> tuple[int, ...]:
         """Lengths of the tokens that can end with ``end``, longest first."""
         found = set(self.by_end.get(end, ())) if len(end) == END_BYTES else set()
