@@ -1,4 +1,11 @@
-"""Clean a corpus: rules, exact copies, near copies, secrets, packing."""
+"""Clean a corpus: rules, exact copies, near copies, secrets, packing.
+
+Defined results: documents with null or empty texts fail the rules and go; very long
+texts are handled whole; of exact copies the one with most code points stays, then the
+smallest doc_id (null last), of near copies the smallest doc_id; rows that agree in
+doc_id and text are one document; other columns, whatever their names, pass all stages
+but the last; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 

@@ -5,16 +5,17 @@ fingerprint is a polynomial of its bytes modulo three primes; two fingerprints
 combine to that of the joined bytes by shifting the left one by the length of
 the right one, so chunks can be hashed in any order or place.
 
-Texts of equal fingerprint and length are then compared chunk by chunk. The
-chunks of such groups stream through one aggregation that keeps each different
-chunk once per task, so a group of a third of all rows sends only as many rows as
-there are tasks. A group with two contents at one chunk number is a collision:
+Texts of equal fingerprint and length are then compared chunk by chunk: the chunks
+of such groups are joined by fingerprint and stream through one aggregation that
+keeps each different chunk once. The join comes first, so the chunks of all texts are
+shuffled, and those of one group of copies meet in one task. A group with two contents at one chunk number is a collision:
 its texts are told apart by which content they have at each number.
 
 Defined results: a null text is empty, and empty texts are equal to each other.
 Of equal texts the row with most code points in the original text stays, then the
 smallest doc_id (null last). Rows repeated with the same doc_id and text all
-appear; one of them has ``kept``. Other columns are ignored.
+appear; one of them has ``kept``. Very long texts are hashed and compared in chunks,
+all of them. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

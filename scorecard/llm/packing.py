@@ -10,8 +10,9 @@ reach the least possible number of bins stop. What the shards leave in bins that
 are not full is packed again across shards.
 
 Defined results: a null text is an empty document of one token; the pieces of
-repeated rows are packed each for itself; other columns are ignored; an empty
-table gives no rows.
+repeated rows are packed each for itself; a text of over ``capacity`` tokens is cut
+into full pieces and a rest; of bins that leave equal space the newest is taken; other
+columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

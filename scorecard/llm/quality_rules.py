@@ -9,7 +9,8 @@ window hashes are built by doubling (1, 2, 4, 8 words), and only a text in which
 a hash repeats sorts its (hash, position) pairs and compares the words of
 neighbours, so a hash collision cannot make a window count as repeated.
 
-Defined results: a null text has no words and fails the length rule; an empty
+Defined results: a null text has no words and fails the length rule; very long texts
+are judged whole; a ratio just at its threshold passes where the table says so; an empty
 table gives no rows; repeated rows are judged each for itself; other columns,
 whatever their names, are ignored (``filter_documents`` returns them unchanged).
 """

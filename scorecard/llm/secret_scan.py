@@ -9,8 +9,9 @@ each rest that is long enough for a run is judged by itself.
 Only words long enough to hold a secret are looked at, so a text costs one split.
 
 Defined results: a null text is empty and has no spans; repeated rows each get
-theirs; an empty table gives no rows; other columns are ignored (``redact``
-returns them unchanged, except ``n_chars`` where there is one).
+theirs; very long texts are searched whole; of spans of one start the kinds are in
+the order listed, and a random run is what base spans and known digests leave of it;
+an empty table gives no rows; other columns are ignored (``redact`` returns them unchanged, except ``n_chars`` where there is one).
 """
 
 from __future__ import annotations

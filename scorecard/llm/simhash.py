@@ -19,7 +19,9 @@ sampled, and the links lose and add no component.
 
 Defined results: a null or empty text has fingerprint zero and links like any
 other; a null doc_id takes part but is never a component's id unless alone;
-repeated rows get the same verdict; an empty table gives no rows.
+repeated rows get the same verdict; very long texts count with all their shingles,
+some at a time; a bit that just half of the hashes have is 0; an empty table gives no
+rows; other columns, whatever their names, are ignored (``deduplicate`` returns them).
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ Marked windows come back as runs (doc_id, first word, last word), joined by docu
 Defined results: a null text has no words; positions of equal windows are
 ordered by (doc_id, start), a null doc_id last; rows repeated with the same
 doc_id count as different documents, in the order of their text and then any.
-An empty table gives no rows; other columns are ignored.
+Very long texts are compared whole. An empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations

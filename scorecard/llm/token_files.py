@@ -17,7 +17,9 @@ last; equal ids by text), one file for each partition. A file is written under a
 name of its own attempt and renamed, so a lost executor's task is just run again.
 
 Defined results: a null text is an empty document of one token; repeated rows
-are documents of their own; an empty table gives no files and no rows.
+are documents of their own; very long texts are encoded whole, over as many
+sequences as they take; documents of one doc_id are ordered by a hash of their text;
+an empty table gives no files and no rows; other columns are ignored.
 """
 
 from __future__ import annotations

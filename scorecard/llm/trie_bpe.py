@@ -11,7 +11,8 @@ Words are the pieces that the tokenizer's own pattern makes. The tokenizer file
 is only read for its vocabulary, merges, pattern kind and added tokens.
 
 Defined results: a null text is empty and has no ids; repeated rows each get
-theirs; an empty table gives no rows; other columns are ignored.
+theirs; very long texts are encoded whole; merges of equal rank go from the left, as
+in the tokenizer; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

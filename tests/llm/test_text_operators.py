@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import string
 
 import pytest
@@ -203,3 +204,35 @@ def test_repeats_with_null_and_repeated_ids(spark):
 )
 def test_empty_table(spark, apply):
     assert apply(brute.frame(spark, [])).count() == 0
+
+
+# The contract's patterns, written plainly.
+ASSIGN = r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+PLAIN = (
+    ("assign", re.compile(ASSIGN, re.I | re.A), 2, 12),
+    ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18),
+    ("hex", re.compile("[0-9a-f]+"), 0, 16),
+)
+
+
+def plain_spans(text):
+    found = []
+    for order, (kind, pattern, group, least) in enumerate(PLAIN):
+        spans = [m.span() for m in pattern.finditer(text or "") if len(m[group]) >= least]
+        found += [(start, order, f"{kind}:{start}:{end}") for start, end in spans]
+    return [text for _, _, text in sorted(found)]
+
+
+def test_base_spans_are_those_of_the_plain_patterns(spark, folder):
+    rng = random.Random(12)
+    parts = ["token", "API_KEY", "apikey:", "=", " ", "'", "secret", "PassWord", "\n", "\x1c", "é", "ſecret=",
+             "AKIA" + "A1B2" * 5, "AKIA1", "0123456789abcdef", "deadbeef", "x/+_.=-" * 3, "a" * 12, "long " * 40]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(400)]
+    texts += [*brute.EDGE_TEXTS, *(r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect())]
+    got = {r.doc_id: r for r in secret_scan.scan(brute.frame(spark, texts), BYTE_RANKS).collect()}
+    for number, text in enumerate(texts):
+        spans, r = plain_spans(text), got[number]
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        counts = [sum(s.startswith(kind) for s in spans) for kind, *_ in PLAIN]
+        assert [r.n_assign, r.n_access, r.n_hex] == counts
+        assert set(spans) <= set(r.spans.split(","))

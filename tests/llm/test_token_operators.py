@@ -132,6 +132,34 @@ def test_packing(spark):
         assert len(used) <= 1.05 * total / 32 + 1
 
 
+def test_pieces_have_the_ids_of_the_library(spark):
+    library = Tokenizer.from_file(WORD_TOKENIZER)
+    got = sorted(tuple(r) for r in packing.pieces(brute.frame(spark, TEXTS), WORD_TOKENIZER, 1, 16).collect())
+    want = []
+    for doc_id, text in enumerate(TEXTS):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        want += [
+            (doc_id, n, at, len(ids[at : at + 16]), zlib.crc32(ids[at : at + 16].tobytes()))
+            for n, at in enumerate(range(0, len(ids), 16))
+        ]
+    assert got == want
+
+
+def test_the_search_keeps_what_best_fit_found_or_betters_it():
+    """Where best fit misses the least number of bins, crossover goes on from it."""
+    rng = random.Random(5)
+    lengths = [n for _ in range(60) for n in (rng.randint(34, 40), rng.randint(25, 33))]
+    lengths += [100 - a - b for a, b in zip(lengths[::2], lengths[1::2], strict=True)]
+    order = sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True)
+    plain = len(packing.best_fit(lengths, order, 100))
+    assert packing.least_bins(lengths, 100) == 60 < plain
+    found = packing.evolve(lengths, [], 100, 200, rng)
+    assert len(found[0]) <= plain
+    for one in found:
+        assert sorted(i for members in one for i in members) == list(range(len(lengths)))
+        assert max(sum(lengths[i] for i in members) for members in one) <= 100
+
+
 def test_crossover_keeps_every_item_once():
     rng = random.Random(1)
     lengths = [rng.randint(1, 100) for _ in range(400)]
