@@ -29,6 +29,7 @@ from scorecard.plans.survey import survey_id, wave_measures
 
 # ---------------------------------------------------------------- event grain
 
+# Fixed values, here and below: the metric names of the output contract.
 EVENT_METRICS = ("InForce90DaysAfterChangeFlag", "IsAgentChangeEvent", "IsZipChangeEvent")
 
 
