@@ -23,7 +23,7 @@ from scorecard.plans.contact import (
 )
 from scorecard.plans.policy import policy_entity
 from scorecard.plans.survey import all_campaigns, all_responses, survey_entity, wave_measures
-from scorecard.plans.views import DEFAULT_LOAD_MONTH, register_views
+from scorecard.plans.views import DEFAULT_LOAD_MONTH, publish_views, register_views
 from scorecard.sources.tables import Sources
 from scorecard.store import BUCKETS, TableStore
 
@@ -40,6 +40,8 @@ WIDE_PAIRS = (
     ("SurveyRaw", "SurveyWide"),
     ("ContactRaw", "ContactWide"),
 )
+# Tables that a build puts into a database of the catalog.
+PUBLISHED = ("PolicyWide", "ChangeEventWide", "SurveyWide", "ContactWide")
 MARKS_SCHEMA = "name string, mark timestamp_ntz"
 
 
@@ -222,6 +224,7 @@ def build(
     onboarding_entities: Mapping[str, str] | None = None,
     load_month: str = DEFAULT_LOAD_MONTH,
     buckets: int = BUCKETS,
+    database: str | None = None,
 ) -> dict[str, int]:
     """Build every table under ``out_dir``, register the views, run the checks.
 
@@ -229,7 +232,8 @@ def build(
     runs merge what changed, in the buckets that change (each dealt table has
     ``buckets`` from its first run or full refresh on). Marks are read from the
     sources first and stored last, so a failed run is simply repeated. Returns the
-    quality report of the inputs and of the stored tables.
+    quality report of the inputs and of the stored tables. With a ``database`` the wide
+    tables and the views are also put into it, for other sessions.
     """
     store = TableStore(spark, out_dir, buckets)
     reuse = store.exists("Watermarks") and not full_refresh
@@ -253,6 +257,9 @@ def build(
         store.replace(name, wide.metrics_of(table, key))
 
     register_views(wide_policy, wide_survey, onboarding_entities, load_month)
+    if database is not None:
+        paths = {name: store.path(name) for name in PUBLISHED}
+        publish_views(spark, database, paths, onboarding_entities, load_month)
     _write_marks(store, next_marks)
     shared = (
         {f"contacts share {contact_link.contact_column}": shared_links(

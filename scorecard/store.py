@@ -74,6 +74,13 @@ class TableStore:
         """The name of what is read now."""
         return self._current(name)[-1]
 
+    def path(self, name: str) -> str:
+        """The folder of a table that is one full version."""
+        current = self._current(name)
+        if len(current) != 1 or not current[0].startswith(FULL):
+            raise ValueError(f"{name} is not one folder")
+        return f"{self.root}/{name}/{current[0]}"
+
     def exists(self, name: str) -> bool:
         return bool(self._current(name))
 
