@@ -3,13 +3,16 @@
 A normalised text (UTF-8 without white space) is read chunk by chunk. A chunk's
 fingerprint is a polynomial of its bytes modulo three primes; two fingerprints
 combine to that of the joined bytes by shifting the left one by the length of
-the right one, so chunks can be hashed in any order or place.
+the right one, so chunks can be hashed in any order or place. A text over
+``long_chars`` is cut into parts that several tasks hash; an aggregation combines them.
 
-Texts of equal fingerprint and length are then compared chunk by chunk: the chunks
-of such groups are joined by fingerprint and stream through one aggregation that
-keeps each different chunk once. The join comes first, so the chunks of all texts are
-shuffled, and those of one group of copies meet in one task. A group with two contents at one chunk number is a collision:
-its texts are told apart by which content they have at each number.
+Texts of equal fingerprint and length are then compared chunk by chunk: their chunks
+stream through one aggregation by fingerprint, number and content. Each task keeps a
+content once before anything is shuffled, so a group of copies sends at most one chunk
+of each number from a task, however large it is; a further count of contents moves no
+texts. Where few fingerprints are shared (``SHARED_LIMIT``), their hashes are broadcast
+and other texts do not travel. A group with two contents at one chunk number is a
+collision: its texts are told apart by which content they have at each number.
 
 Defined results: a null text is empty, and empty texts are equal to each other.
 Of equal texts the row with most code points in the original text stays, then the
@@ -25,13 +28,25 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorecard.llm.common import WHITE_BYTES, keep_rows, map_rows, prepare, text_key, texts_of
+from scorecard.llm.common import (
+    WHITE_BYTES,
+    keep_rows,
+    map_rows,
+    prepare,
+    text_key,
+    texts_of,
+    without_white,
+)
 from scorecard.operators.staging import stage
 
 CHUNK_BYTES = 1 << 16
+# Texts with more code points are hashed in parts of so many, by several tasks.
+LONG_CHARS = 1 << 22
+# Rows of a table of keys that may be broadcast (a few MB).
+SHARED_LIMIT = 200_000
 # Primes below 2**31, and a base for each: arbitrary, but the same everywhere.
 MODULI = (2147483647, 2147483629, 2147483587)
 BASES = (1304972387, 761920437, 1883409001)
@@ -109,13 +124,22 @@ def _fingerprinter(moduli: tuple[int, ...]) -> Fingerprinter:
     return _FINGERPRINTERS[moduli]
 
 
-def fingerprints(docs: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame:
-    """doc_id, text_key, n_chars, fp, fp_length and text_sha256 of every row."""
+def fingerprints(
+    docs: DataFrame, moduli: tuple[int, ...] = MODULI, long_chars: int = LONG_CHARS
+) -> DataFrame:
+    """doc_id, text_key, n_chars, fp, fp_length and text_sha256 of every row.
+
+    The table is written. Texts over ``long_chars`` are read once more, in parts.
+    """
 
     def rows(ids, keys, texts):
         hasher = _fingerprinter(moduli)
         out = [ids, keys, list(map(len, texts)), [], [], []]
         for text in texts:
+            if len(text) > long_chars:
+                for column in out[3:]:
+                    column.append(None)
+                continue
             data = normalised(text)
             whole = hasher.whole(data)
             out[3].append(whole.key())
@@ -125,7 +149,64 @@ def fingerprints(docs: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame
 
     keyed = texts_of(docs).select("doc_id", text_key().alias("text_key"), "text")
     schema = "doc_id long, text_key long, n_chars long, fp string, fp_length long, text_sha256 string"
-    return map_rows(keyed, rows, schema)
+    found = stage(map_rows(keyed, rows, schema), "fingerprints")
+    short = found.where(F.col("fp").isNotNull())
+    if found.where(F.col("fp").isNull()).isEmpty():
+        return short
+    size = F.char_length("text").cast("long")
+    long = keyed.withColumn("n_chars", size).where(F.col("n_chars") > long_chars)
+    return short.unionByName(stage(_in_parts(long, moduli, long_chars), "long-fingerprints"))
+
+
+def _in_parts(long: DataFrame, moduli: tuple[int, ...], part_chars: int) -> DataFrame:
+    """Fingerprints of long texts: hashed part by part, combined by shifting."""
+
+    def rows(ids, keys, sizes, hashes, copies, numbers, parts):
+        hasher = _fingerprinter(moduli)
+        prints = [hasher.whole(normalised(part)) for part in parts]
+        out = [ids, keys, sizes, hashes, copies, numbers, [f.length for f in prints]]
+        for i, (base, p) in enumerate(zip(BASES, moduli, strict=True)):
+            out.append([f.residues[i] for f in prints])
+            out.append([pow(base, f.length, p) for f in prints])
+        return out
+
+    row = ["doc_id", "text_key", "n_chars", "text_sha256"]
+    hashed = long.withColumn("text_sha256", F.sha2(without_white(F.col("text")).cast("binary"), 256))
+    # Rows that agree in all of this have one text; they are hashed once.
+    once = hashed.groupBy(*row).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    starts = F.sequence(F.lit(1).cast("long"), F.col("n_chars"), F.lit(part_chars).cast("long"))
+    parts = F.transform(starts, lambda at: F.substring("text", at.cast("int"), F.lit(part_chars)))
+    dealt = once.select(*row, "copies", F.posexplode(parts).alias("number", "part")).repartition(
+        *row, "number"
+    )
+    residues = [f"r{i}" for i in range(len(moduli))]
+    shifts = [f"s{i}" for i in range(len(moduli))]
+    fields = ", ".join(f"{r} long, {s} long" for r, s in zip(residues, shifts, strict=True))
+    schema = (
+        "doc_id long, text_key long, n_chars long, text_sha256 string, copies long, "
+        f"number int, length long, {fields}"
+    )
+    hashed_parts = map_rows(dealt, rows, schema)
+    # A few numbers for each part, at most 2 GB / part_chars of them for a text.
+    at = F.array_sort(F.collect_list(F.struct("number", "length", *residues, *shifts)))
+    grouped = hashed_parts.groupBy(*row, "copies").agg(at.alias("at"))
+
+    def combined(i: int) -> Column:
+        def step(left: Column, part: Column) -> Column:
+            # Both factors are below 2**31.
+            return (left * part[shifts[i]] + part[residues[i]]) % moduli[i]
+
+        return F.aggregate("at", F.lit(0).cast("long"), step).cast("string")
+
+    return grouped.select(
+        "doc_id",
+        "text_key",
+        "n_chars",
+        F.concat_ws(":", *[combined(i) for i in range(len(moduli))]).alias("fp"),
+        F.aggregate("at", F.lit(0).cast("long"), lambda n, part: n + part["length"]).alias("fp_length"),
+        "text_sha256",
+        F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
+    ).drop("copy")
 
 
 def _chunk_rows(docs: DataFrame, moduli: tuple[int, ...]) -> DataFrame:
@@ -146,23 +227,44 @@ def _chunk_rows(docs: DataFrame, moduli: tuple[int, ...]) -> DataFrame:
         return out
 
     schema = "doc_id long, sha string, fp string, fp_length long, number int, chunk binary"
-    return map_rows(texts_of(docs), rows, schema)
+    return map_rows(docs, rows, schema)
+
+
+def _few(keys: DataFrame) -> DataFrame:
+    """``keys``, broadcast if it has no more than ``SHARED_LIMIT`` rows."""
+    return F.broadcast(keys) if keys.count() <= SHARED_LIMIT else keys
+
+
+def _texts_to_compare(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Texts whose fingerprint several rows share; all of them if too many are shared.
+
+    Texts are named by hash, so a text too many may be among them, never one too few.
+    """
+    key = ["fp", "fp_length"]
+    usable = found.where("fp_length > 0")
+    shared = usable.groupBy(*key).count().where("count > 1").select(*key)
+    keys = stage(usable.join(shared, key, "left_semi").select("text_key").distinct(), "shared")
+    texts = texts_of(docs)
+    if keys.count() > SHARED_LIMIT:
+        return texts
+    keyed = texts.withColumn("text_key", text_key())
+    return keyed.join(F.broadcast(keys), "text_key", "left_semi").select("doc_id", "text")
 
 
-def _collisions(docs: DataFrame, shared: DataFrame, moduli: tuple[int, ...]) -> DataFrame:
-    """Which text has which content, for fingerprints that several texts share.
+def _collisions(docs: DataFrame, found: DataFrame, moduli: tuple[int, ...]) -> DataFrame:
+    """Which text has which content, for fingerprints that different texts share.
 
     Returns fp, fp_length, doc_id, sha and ``variant``; normally no row at all.
     """
     place = ["fp", "fp_length", "number"]
-    chunks = _chunk_rows(docs, moduli).join(shared, ["fp", "fp_length"], "left_semi")
-    # One row for each different chunk and task before the shuffle.
-    contents = chunks.groupBy(*place, "chunk").agg(F.count(F.lit(1)).alias("holders"))
-    places = contents.groupBy(*place).agg(F.count(F.lit(1)).alias("contents"))
+    texts = _texts_to_compare(docs, found)
+    # Each task keeps a chunk once, and chunks are dealt by their content too.
+    contents = _chunk_rows(texts, moduli).groupBy(*place, "chunk").agg(F.lit(1).alias("one"))
+    places = contents.groupBy(*place).agg(F.count("one").alias("contents"))
     unequal = stage(
         places.where("contents > 1").select("fp", "fp_length").distinct(), "collisions"
     )
-    rows = _chunk_rows(docs, moduli).join(F.broadcast(unequal), ["fp", "fp_length"], "left_semi")
+    rows = _chunk_rows(texts, moduli).join(_few(unequal), ["fp", "fp_length"], "left_semi")
     order = Window.partitionBy(*place).orderBy("chunk")
     named = (
         rows.select(*place, "chunk").distinct().withColumn("content", F.row_number().over(order))
@@ -181,13 +283,14 @@ def _collisions(docs: DataFrame, shared: DataFrame, moduli: tuple[int, ...]) ->
     )
 
 
-def exact_groups(docs: DataFrame, moduli: tuple[int, ...] = MODULI) -> DataFrame:
+def exact_groups(
+    docs: DataFrame, moduli: tuple[int, ...] = MODULI, long_chars: int = LONG_CHARS
+) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, text_key."""
     prepare(docs.sparkSession)
-    found = stage(fingerprints(docs, moduli), "fingerprints")
+    found = fingerprints(docs, moduli, long_chars)
     key = ["fp", "fp_length"]
-    shared = found.where("fp_length > 0").groupBy(*key).count().where("count > 1").select(*key)
-    clashes = stage(_collisions(docs, shared, moduli), "clashes")
+    clashes = stage(_collisions(docs, found, moduli), "clashes")
     if clashes.isEmpty():
         classed = found.withColumn("variant", F.lit(""))
     else:

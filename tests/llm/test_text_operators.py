@@ -45,6 +45,33 @@ def test_exact_groups(spark, texts, moduli):
     assert sum(r.kept for r in got) == len({r.text_sha256 for r in got})
 
 
+@pytest.mark.parametrize("moduli", [exact_dedup.MODULI, (2, 3, 2)])
+def test_exact_groups_of_long_texts_hashed_in_parts(spark, moduli, monkeypatch):
+    base = "é ab\n" * 40_000
+    texts = [base, base + " ", base[:-2] + "X\n", base, base[::-1], "short", " sho rt", "", None]
+    ids = [4, 2, 3, 4, 5, 6, 7, 8, None]
+    docs = brute.frame(spark, texts, ids)
+    want = by_text(brute.exact(list(zip(ids, texts, strict=True))))
+    for limit in (exact_dedup.SHARED_LIMIT, 0):
+        monkeypatch.setattr(exact_dedup, "SHARED_LIMIT", limit)
+        got = exact_dedup.exact_groups(docs, moduli, long_chars=999).collect()
+        assert by_text([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got]) == want
+    parts = exact_dedup.fingerprints(docs, moduli, long_chars=999).collect()
+    whole = exact_dedup.fingerprints(docs, moduli).collect()
+    assert by_text(parts) == by_text(whole)
+
+
+def test_exact_groups_deal_chunks_by_content(spark, texts):
+    docs = brute.frame(spark, texts)
+    found = exact_dedup.fingerprints(docs)
+    plan = exact_dedup._chunk_rows(exact_dedup._texts_to_compare(docs, found), exact_dedup.MODULI)
+    plan = plan.groupBy("fp", "fp_length", "number", "chunk").count()
+    text = plan._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    dealt = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 1 and "chunk" in dealt[0]
+    assert "BroadcastHashJoin" in text or "BroadcastExchange" in text
+
+
 def test_exact_keeps_columns_and_one_of_repeated_rows(spark):
     docs = brute.frame(spark, ["a b", "a b", "ab", None, ""], [1, 1, 2, 3, 4])
     kept = exact_dedup.deduplicate(docs)
