@@ -10,12 +10,13 @@ in some choice of all blocks but three. Candidates whose distance to any whole
 reference differs by more than three are discarded (triangle inequality), and
 the survivors are verified bit by bit.
 
-Equal fingerprints are one node, so exact copies cost nothing here. A bucket
-with more than ``bucket_limit`` nodes is dealt again by finer blocks, down to single
-bits. Distances do not tell all bits of a wider block apart, so at the last level
-the fixed bits themselves are compared: nodes that agree in all but the same three
-bits (eight at most) become a star instead of all their pairs. No bucket is cut or
-sampled, and the links lose and add no component.
+Equal fingerprints are one node, so exact copies cost nothing here. Nodes of a bucket
+with more than ``bucket_limit`` are not compared in pairs. Each lists the fingerprints
+that differ from it in at most two of the bits free in its crowded buckets: 2,081 at
+most, whatever the size of a bucket. Of two nodes within three bits, one is within one
+bit and the other within two of some listed fingerprint, so all nodes that list it are
+linked to the least of those within one bit of it, which is within three bits of each.
+No bucket is cut or sampled, and the links lose and add no component.
 
 Defined results: a null or empty text has fingerprint zero and links like any
 other; a null doc_id takes part but is never a component's id unless alone;
@@ -30,7 +31,7 @@ from itertools import combinations, repeat
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorecard.llm.common import keep_rows, map_rows, prepare, text_key, texts_of
@@ -42,8 +43,8 @@ SHINGLE_WORDS = 3
 SEED = 42
 MAX_BITS = 3
 BUCKET_LIMIT = 128
-# Blocks of each level, as even as may be; the last level has single bits.
-LEVELS = (6, 16, 64)
+# Blocks of bits, as even as may be.
+BLOCKS = 6
 # Shingles hashed at a time.
 PIECE = 1 << 16
 # Reference fingerprints: arbitrary, but the same everywhere.
@@ -96,8 +97,8 @@ def _distance(reference: int) -> Column:
     return F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(reference)))).cast("long")
 
 
-def _mask(block: int, blocks: int) -> int:
-    first, last = block * BITS // blocks, (block + 1) * BITS // blocks
+def _mask(block: int) -> int:
+    first, last = block * BITS // BLOCKS, (block + 1) * BITS // BLOCKS
     return (1 << last) - (1 << first)
 
 
@@ -109,64 +110,26 @@ def pivot_table() -> Column:
     return packed
 
 
-def _block_codes(blocks: int) -> list[Column]:
+def _block_codes() -> list[Column]:
     """For each block, one value for all distances of the fingerprint inside it."""
     return [
-        F.xxhash64(*[_distance(r ^ _mask(b, blocks)) - _distance(r) for r in REFERENCES])
-        for b in range(blocks)
+        F.xxhash64(*[_distance(r ^ _mask(b)) - _distance(r) for r in REFERENCES])
+        for b in range(BLOCKS)
     ]
 
 
-def _keyed(nodes: DataFrame, level: int, parents: bool) -> DataFrame:
-    """Rows dealt to the buckets of a level; finer levels stay inside a parent bucket."""
-    blocks = LEVELS[level]
-    coded = nodes.withColumn("_codes", F.array(*_block_codes(blocks)))
-    if not parents:
-        choices = []
-        for n, free in enumerate(combinations(range(blocks), MAX_BITS)):
-            fixed = [F.get("_codes", F.lit(b)) for b in range(blocks) if b not in free]
-            bits = sum(_mask(b, blocks) for b in free)
-            choices.append(
-                F.struct(
-                    F.xxhash64(F.lit(n), *fixed).alias("key"), F.lit(_signed(bits)).alias("free")
-                )
-            )
-        choices = F.array(*choices)
-        return coded.select("fp", "table", F.explode(choices).alias("c")).select(
-            "fp", "table", "c.key", "c.free"
-        )
-    # Blocks inside the parent's free bits; the distances of all others agree already.
-    numbers = F.filter(
-        F.array(*[F.struct(F.lit(b).alias("b"), F.lit(_signed(_mask(b, blocks))).alias("m")) for b in range(blocks)]),
-        lambda x: F.col("free").bitwiseAND(x["m"]) != 0,
-    )
-    inside = coded.withColumn("_in", numbers)
-    triples = F.flatten(
-        F.transform(
-            "_in",
-            lambda x, i: F.flatten(
-                F.transform(
-                    F.slice("_in", i + 2, F.size("_in")),
-                    lambda y, j: F.transform(
-                        F.slice("_in", i + j + 3, F.size("_in")),
-                        lambda z: F.struct(
-                            x["m"].bitwiseOR(y["m"]).bitwiseOR(z["m"]).alias("free")
-                        ),
-                    ),
-                )
-            ),
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """Rows dealt to buckets: one for each choice of the blocks that may differ."""
+    coded = nodes.withColumn("_codes", F.array(*_block_codes()))
+    choices = []
+    for n, free in enumerate(combinations(range(BLOCKS), MAX_BITS)):
+        fixed = [F.get("_codes", F.lit(b)) for b in range(BLOCKS) if b not in free]
+        bits = sum(_mask(b) for b in free)
+        choices.append(
+            F.struct(F.xxhash64(F.lit(n), *fixed).alias("key"), F.lit(_signed(bits)).alias("free"))
         )
-    )
-    dealt = inside.select("fp", "table", "key", "_in", "_codes", F.explode(triples).alias("t"))
-    rest = F.transform(
-        F.filter("_in", lambda x: F.col("t.free").bitwiseAND(x["m"]) == 0),
-        lambda x: F.get("_codes", x["b"]),
-    )
-    return dealt.select(
-        "fp",
-        "table",
-        F.xxhash64("key", "t.free", rest).alias("key"),
-        F.col("t.free").alias("free"),
+    return coded.select("fp", "table", F.explode(F.array(*choices)).alias("c")).select(
+        "fp", "table", "c.key", "c.free"
     )
 
 
@@ -199,36 +162,57 @@ def _pairs(small: DataFrame) -> DataFrame:
     return groups.select(F.explode(found).alias("l")).select("l.a", "l.b")
 
 
-def _stars(keyed: DataFrame) -> DataFrame:
-    """Links of nodes that agree in all bits but the free ones, each to the lowest."""
-    fixed = F.col("fp").bitwiseAND(F.bitwise_not("free"))
-    groups = keyed.groupBy("free", fixed.alias("fixed")).agg(F.collect_set("fp").alias("g"))
-    return groups.select(F.explode("g").alias("a"), F.array_min("g").alias("b")).where("a <> b")
+def _crowded_links(crowded: DataFrame) -> DataFrame:
+    """Links among nodes of crowded buckets: ``fp`` and ``free``, the bits that may differ.
+
+    A node lists what differs from it in at most two free bits. Only lists of nodes
+    that fit are gathered: those within two bits of one value, 2,081 at most.
+    """
+    bits = F.filter(
+        F.array(*[F.lit(_signed(1 << b)) for b in range(BITS)]),
+        lambda bit: F.col("free").bitwiseAND(bit) != 0,
+    )
+    flips = F.transform(
+        F.flatten(
+            F.transform(
+                "_bits",
+                lambda x, i: F.transform(
+                    F.slice("_bits", i + 2, F.size("_bits")), lambda y: x.bitwiseOR(y)
+                ),
+            )
+        ),
+        lambda flip: F.struct(flip.alias("flip"), F.lit(False).alias("near")),
+    )
+    single = F.transform("_bits", lambda x: F.struct(x.alias("flip"), F.lit(True).alias("near")))
+    same = F.array(F.struct(F.lit(0).cast("long").alias("flip"), F.lit(True).alias("near")))
+    listed = crowded.withColumn("_bits", bits).select(
+        "fp", F.explode(F.concat(same, single, flips)).alias("v")
+    )
+    groups = (
+        listed.select(F.col("fp").bitwiseXOR(F.col("v.flip")).alias("value"), "fp", "v.near")
+        .groupBy("value")
+        .agg(F.collect_list("fp").alias("g"), F.min(F.when(F.col("near"), F.col("fp"))).alias("b"))
+        .where("size(g) > 1 AND b IS NOT NULL")
+    )
+    return groups.select(F.explode("g").alias("a"), "b").where("a <> b").distinct()
 
 
 def links(nodes: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Links (a, b) that join every two of the distinct ``fp`` within three bits,
     directly or through others within three bits of each."""
-    now = nodes.select("fp").withColumn("table", pivot_table())
-    found = []
-    for level in range(len(LEVELS)):
-        keyed = _keyed(now, level, parents=level > 0)
-        if level == len(LEVELS) - 1:
-            found.append(_stars(keyed))
-            break
-        sized = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
-        shared = sized.where("n > 1")
-        found.append(_pairs(shared.where(F.col("n") <= bucket_limit)))
-        now = stage(
-            shared.where(F.col("n") > bucket_limit).select("fp", "table", "key", "free"),
-            "crowded-buckets",
-        )
-        if now.isEmpty():
-            break
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result.distinct()
+    keyed = _keyed(nodes.select("fp").withColumn("table", pivot_table()))
+    # Counted in each task first, so a crowded bucket is a few rows here.
+    counts = keyed.groupBy("key").count().where(F.col("count") > bucket_limit).select("key")
+    crowded_keys = stage(counts, "crowded-keys")
+    if crowded_keys.isEmpty():
+        return _pairs(keyed).distinct()
+    crowded = (
+        keyed.join(crowded_keys, "key", "left_semi")
+        .groupBy("fp")
+        .agg(F.bit_or("free").alias("free"))
+    )
+    usual = _pairs(keyed.join(crowded_keys, "key", "left_anti"))
+    return usual.unionByName(_crowded_links(crowded)).distinct()
 
 
 def near_groups(docs: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:

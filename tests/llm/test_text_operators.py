@@ -185,6 +185,21 @@ def test_simhash_links_only_what_is_close(spark, limit):
     assert {f: roots.get(f, f) for f in fps} == brute.groups_within(fps, 3)
 
 
+def test_simhash_crowded_bucket_gives_bounded_links(spark):
+    rng = random.Random(6)
+    base, weak = rng.getrandbits(64), rng.sample(range(64), 16)
+    fps = {base ^ sum(1 << k for k in rng.sample(weak, rng.randint(0, 6))) for _ in range(900)}
+    fps |= {base ^ (0b1111 << at) ^ 0xF for at in range(16, 48, 4)}
+    signed = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    found = simhash.links(nodes, 8)
+    rows = found.collect()
+    assert len(rows) <= 2081 * len(fps)
+    assert all(bin((r.a ^ r.b) % (1 << 64)).count("1") <= 3 for r in rows)
+    roots = {r.node: r.root for r in components(found).collect()}
+    assert {f: roots.get(f, f) for f in signed} == brute.groups_within(signed, 3)
+
+
 def test_near_groups(spark):
     texts = ["a b c d", "A b  c d", None, "", "x y z w v", "q"]
     got = simhash.near_groups(brute.frame(spark, texts, [5, 4, 3, None, 1, 1])).collect()
