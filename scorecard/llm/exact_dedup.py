@@ -40,6 +40,7 @@ from scorecard.llm.common import (
     texts_of,
     without_white,
 )
+from scorecard.operators.skew import find_hot_keys, lookup_join
 from scorecard.operators.staging import stage
 
 CHUNK_BYTES = 1 << 16
@@ -301,12 +302,14 @@ def exact_groups(
             *[found[c] for c in found.columns],
             F.coalesce(clashes["variant"], F.lit("")).alias("variant"),
         )
-    key = [*key, "variant"]
+    classed = classed.withColumn("group", F.concat_ws("|", *key, "variant"))
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull(), "doc_id"))
-    groups = classed.groupBy(*key).agg(
+    groups = classed.groupBy("group").agg(
         best.alias("best"), F.count(F.lit(1)).alias("group_size")
     )
-    joined = classed.join(groups, key).select(
+    # Rows of large groups meet a broadcast of one row per large group.
+    hot = find_hot_keys(classed, "group")
+    joined = lookup_join(classed, groups, "group", hot, "inner").select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",
