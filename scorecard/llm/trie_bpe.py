@@ -21,6 +21,7 @@ import hashlib
 import json
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,15 @@ class Recent:
         return keys - found.keys()
 
 
+def _listed(numbers: tuple[int, ...]) -> tuple[bytes, bytes]:
+    """Ids as 32-bit integers, and as decimals with a comma behind each."""
+    return array("I", numbers).tobytes(), "".join([f"{n}," for n in numbers]).encode()
+
+
+def _joined(parts: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    return b"".join([ids for ids, _ in parts]), b"".join([listed for _, listed in parts])
+
+
 class TrieEncoder:
     """Vocabulary and merges of a byte-level tokenizer file, and tries over them."""
 
@@ -251,22 +261,28 @@ class TrieEncoder:
         return out
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; new distinct words of the batch go into one trie."""
+        """Ids of each text."""
+        return [ids for ids, _ in self.encode_listed(texts)]
+
+    def encode_listed(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bytes]]:
+        """Ids of each text, and the same as decimals joined by commas, which are put
+        together once a chunk; new distinct words of the batch go into one trie."""
         split = [self.chunks_of(t) for t in texts]
         known, words = self.chunks.start(), self.words.start()
         fresh = self.chunks.missing({c for chunks in split for c in chunks if c not in known})
         pieces = {c: self._pieces(c) for c in fresh if isinstance(c, str)}
         unknown = {p for ps in pieces.values() for p in ps if p not in words}
         for word, numbers in self.encode_words(self.words.missing(unknown)).items():
-            words[word] = array("I", numbers).tobytes()
+            words[word] = _listed(numbers)
         for chunk in fresh:
             if chunk in pieces:
-                known[chunk] = b"".join(map(words.__getitem__, pieces[chunk]))
+                parts = [words[p] for p in pieces[chunk]]
+                known[chunk] = parts[0] if len(parts) == 1 else _joined(parts)
             else:
-                known[chunk] = array("I", [chunk]).tobytes()
-        return [
-            np.frombuffer(b"".join(map(known.__getitem__, chunks)), np.uint32) for chunks in split
-        ]
+                known[chunk] = _listed((chunk,))
+        for chunks in split:
+            ids, listed = _joined([known[c] for c in chunks])
+            yield np.frombuffer(ids, np.uint32), listed[:-1]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are not UTF-8 become replacement characters."""
@@ -324,9 +340,9 @@ def digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         tool = trie_encoder(tokenizer_path)
         for batch in batches:
             counts, encoded, decoded = [], [], []
-            for ids in tool.encode_batch(batch.column(1).to_pylist()):
+            for ids, listed in tool.encode_listed(batch.column(1).to_pylist()):
                 counts.append(len(ids))
-                encoded.append(hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest())
+                encoded.append(hashlib.sha256(listed).hexdigest())
                 decoded.append(hashlib.sha256(tool.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(encoded), pa.array(decoded)],

@@ -273,3 +273,13 @@ def test_pipeline_stages_on_odd_rows(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0
+
+
+def test_decimals_of_ids_come_with_them():
+    tool = trie_bpe.TrieEncoder(BYTE_TOKENIZER)
+    texts = ["", "one two  three", "one", "\u3000x <|endoftext|> one", " "]
+    for (ids, listed), again in zip(
+        tool.encode_listed(texts), tool.encode_batch(texts), strict=True
+    ):
+        assert listed.decode() == ",".join(map(str, again.tolist()))
+        assert ids.tolist() == again.tolist()
