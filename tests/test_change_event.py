@@ -132,3 +132,10 @@ def test_a_hot_policy_gives_the_same_events(spark):
         plain, policy, hot=HotKeys({policy.where("Policy.PolicyNumber = 'HOT'").first()["ID"]: 0.6})
     )
     assert sorted(map(str, hot_flags.collect())) == sorted(map(str, event_metrics(plain, policy).collect()))
+
+
+def test_events_are_spread_by_compiled_code(spark):
+    r = ranked(spark, txn("P", "2025-01-01", "A", "X"), txn("P", "2025-02-01", "B", "Y"))
+    events = all_change_events(r)
+    assert "lambda" not in events._jdf.queryExecution().optimizedPlan().toString()
+    assert events.count() == 2

@@ -2,6 +2,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from scorecard.operators.nesting import ordered_array
 from scorecard.plans.metrics import policy_metrics
 from scorecard.plans.policy import current_scd2, latest_transaction, monthly_history
 from tests.frames import by_key, entities, frame, snap, spine, stat, txn
@@ -126,3 +127,12 @@ def test_entity_fields(spark):
     assert (q["ZipCode"], q["PriorPolicyIndicator"], q["SystemIds"]["FdrPlcyNum"]) == (None,) * 3
     terms = policy_metrics(policy, names=["TermType"]).collect()
     assert sorted(r["TermType"] for r in terms) == ["NB", "RB"]
+
+
+def test_snapshots_are_ordered_by_compiled_code(spark):
+    rows = spark.createDataFrame(
+        [("P", 2, "b"), ("P", None, "z"), ("P", 1, "c"), ("P", 2, "a")], "k string, n int, v string"
+    )
+    nested = rows.groupBy("k").agg(ordered_array([F.col("n")], F.col("v")).alias("vs"))
+    assert "lambda" not in nested._jdf.queryExecution().optimizedPlan().toString()
+    assert nested.first()["vs"] == ["c", "a", "b", "z"]
