@@ -234,3 +234,12 @@ def test_seeds(spark, tmp_path):
     row = read_seed(spark, str(policy), SEED_POLICY).first()
     assert (row["plcy_incept_dt"], row["cncl_dt"], row["resdc_zip_5_cd"]) == (date(2025, 1, 15), None, "00210")
     assert read_seed(spark, str(event), SEED_CHANGE_EVENT).first()["event_month"] == "2025-05"
+
+
+def test_tasks_write_buckets_without_a_shuffle(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), buckets=2)
+    rows = spark.range(100, numPartitions=3).withColumn("text", F.col("id").cast("string"))
+    stored = store.deal("T", rows.select(F.col("id").alias("ID"), "text"), "ID")
+    files = [f.name for f in tmp_path.rglob("part-*.parquet") if f.parent.name.startswith("bucket=")]
+    assert len(files) == 6 and all("zstd" in f for f in files)
+    assert sorted(r["ID"] for r in stored.collect()) == list(range(100))
