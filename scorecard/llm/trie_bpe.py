@@ -4,8 +4,14 @@ The encoding of a prefix of a word has a definite last token, and the last token
 of a longer prefix follows from those of the shorter ones: it is the token that
 ends there and may follow the last token of what is left before it. Two tokens
 may follow each other if merging their joined bytes gives them back. So a trie
-of the distinct words of a batch is walked depth first, each node gets its last
-token once, and the encodings of all words that share a prefix share that work.
+of the distinct words of a batch is walked depth first, a node gets its last token
+once, and the encodings of all words that share a prefix share that work.
+
+Sorted words are the leaves of their trie in the order of that walk: a word keeps
+what it shares with the one before, and its other prefixes are new nodes. The tokens
+that end at a node are read off a trie of the vocabulary with links to the longest
+suffix (Aho-Corasick); its steps and the pairs of tokens tried are remembered. A
+node whose last token no longer prefix asks for goes without.
 
 Words are the pieces that the tokenizer's own pattern makes. The tokenizer file
 is only read for its vocabulary, merges, pattern kind and added tokens.
@@ -17,10 +23,10 @@ in the tokenizer; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +39,8 @@ from scorecard.llm.common import prepare, texts_of
 
 # Distinct chunks, and words, of one of the two generations a worker remembers.
 MEMORY_CHUNKS = 300_000
-# Bytes of a path's end by which the lengths of tokens ending there are looked up.
-END_BYTES = 4
-# What single bytes are made from.
-BYTE = (0, 0, -1)
+# Pairs of tokens, and steps in the vocabulary's trie, that a worker remembers.
+MEMORY_PAIRS, MEMORY_STEPS = 1_000_000, 500_000
 
 
 class Recent:
@@ -57,15 +61,6 @@ class Recent:
         return keys - found.keys()
 
 
-def _listed(numbers: tuple[int, ...]) -> tuple[bytes, bytes]:
-    """Ids as 32-bit integers, and as decimals with a comma behind each."""
-    return array("I", numbers).tobytes(), "".join([f"{n}," for n in numbers]).encode()
-
-
-def _joined(parts: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
-    return b"".join([ids for ids, _ in parts]), b"".join([listed for _, listed in parts])
-
-
 class TrieEncoder:
     """Vocabulary and merges of a byte-level tokenizer file, and tries over them."""
 
@@ -88,11 +83,6 @@ class TrieEncoder:
         self.raw = raw
         self.ids = {raw(token): number for token, number in model["vocab"].items()}
         self.bytes = {number: token for token, number in self.ids.items()}
-        self.by_end: dict[bytes, list[int]] = {}
-        for token in self.ids:
-            if len(token) >= END_BYTES:
-                self.by_end.setdefault(token[-END_BYTES:], []).append(len(token))
-        self.ends: dict[bytes, tuple[int, ...]] = {}
         # Rank of a merge by its two token ids.
         self.rank = {}
         for n, (a, b) in enumerate(model["merges"]):
@@ -100,8 +90,6 @@ class TrieEncoder:
         self.joined = {
             pair: self.ids[self.bytes[pair[0]] + self.bytes[pair[1]]] for pair in self.rank
         }
-        # The two tokens that each token was merged from last, and the rank of that.
-        self.made = {self.joined[pair]: (*pair, n) for pair, n in reversed(self.rank.items())}
         self.added = {t["content"]: t["id"] for t in described.get("added_tokens", [])}
         self.bytes.update({n: content.encode() for content, n in self.added.items()})
         self.added_split = (
@@ -109,11 +97,10 @@ class TrieEncoder:
             if self.added
             else None
         )
-        self.follows: dict[tuple[int, int], bool] = {}
         self.chunks = Recent(MEMORY_CHUNKS)
         self.words = Recent(MEMORY_CHUNKS)
         # Bytes of every id in one array, for decoding without a loop over ids.
-        top = max(self.bytes) + 1
+        self.top = top = max(self.bytes) + 1
         self.sizes = np.zeros(top, np.int64)
         for number, token in self.bytes.items():
             self.sizes[number] = len(token)
@@ -121,6 +108,25 @@ class TrieEncoder:
         self.all_bytes = np.frombuffer(
             b"".join(self.bytes.get(n, b"") for n in range(top)), np.uint8
         )
+        # Every id as a 32-bit integer, and as a decimal with a comma behind it.
+        four = np.arange(top, dtype="<u4").tobytes()
+        self.listed = [(four[4 * n : 4 * n + 4], b"%d," % n) for n in range(top)]
+        self.as_bytes, self.as_decimal = zip(*self.listed, strict=True)
+        # The two tokens that each token was merged from first, and the rank of that;
+        # single bytes were not merged. Pairs of tokens are one number here.
+        self.rank_of = {left * top + right: n for (left, right), n in self.rank.items()}
+        self.left, self.right, self.made = [0] * top, [0] * top, [-1] * top
+        for pair, n in reversed(self.rank.items()):
+            token = self.joined[pair]
+            self.left[token], self.right[token], self.made[token] = *pair, n
+        self.follows: dict[int, bool] = {}
+        # The trie of the vocabulary: its nodes by number, known steps from a node by a
+        # byte, and the tokens that end at each node and encode to themselves, longest first.
+        self.prefixes = [b"", *{t[:n]: 0 for t in self.ids for n in range(1, len(t) + 1)}]
+        self.nodes = {prefix: n for n, prefix in enumerate(self.prefixes)}
+        self.steps: dict[int, int] = {}
+        self.ends: list[tuple[int, ...] | None] = [None] * len(self.prefixes)
+        self.own: dict[int, bool] = {}
 
     def merged(self, ids: list[int]) -> list[int]:
         """Plain merging, lowest rank first, leftmost of equals."""
@@ -135,117 +141,134 @@ class TrieEncoder:
         return ids
 
     def may_follow(self, left: int, right: int) -> bool:
-        """Whether the bytes of two tokens encode to just these tokens.
-
-        Merges are taken back from the last one on, the right token's first where ranks
-        are equal. The tokens stay apart unless what then meets at their border would
-        have been merged before what was just taken back.
-        """
-        known = self.follows.get((left, right))
+        """Whether the bytes of two tokens, each its own encoding, encode to just them."""
+        pair = left * self.top + right
+        known = self.follows.get(pair)
         if known is None:
-            known = self._is_own(right) and self._apart(left, right)
-            if len(self.follows) > 1_000_000:
+            if len(self.follows) > MEMORY_PAIRS:
                 self.follows.clear()
-            self.follows[left, right] = known
+            self.follows[pair] = known = self._apart(left, right)
         return known
 
     def _apart(self, left: int, right: int) -> bool:
-        made, rank = self.made, self.rank
-        limit = len(rank)
+        """Whether no merge crosses the border of two tokens.
+
+        Merges are taken back from the last one on, the right token's first where ranks
+        are equal. The tokens stay apart unless what then meets at their border would
+        have been merged before what was just taken back.
+        """
+        rank, made, top = self.rank_of, self.made, self.top
+        limit = len(self.rank)
         while True:
-            across = rank.get((left, right))
-            if across is not None and across < limit:
+            if rank.get(left * top + right, limit) < limit:
                 return False
-            _, inner, first = made.get(left, BYTE)
-            outer, _, second = made.get(right, BYTE)
+            first, second = made[left], made[right]
             if first > second:
-                left, limit = inner, first
+                left, limit = self.right[left], first
             elif second >= 0:
-                right, limit = outer, second + 1
+                right, limit = self.left[right], second + 1
             else:
                 return True
 
-    def _lengths(self, end: bytes) -> tuple[int, ...]:
-        """Lengths of the tokens that can end with ``end``, longest first."""
-        found = set(self.by_end.get(end, ())) if len(end) == END_BYTES else set()
-        found |= {n for n in range(1, len(end) + 1) if end[len(end) - n :] in self.ids}
-        self.ends[end] = lengths = tuple(sorted(found, reverse=True))
-        return lengths
-
-    def encode_words(self, words: set[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Encodings of distinct words through one trie."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for byte in word:
-                child = node.get(byte)
-                if child is None:
-                    child = node[byte] = {}
-                node = child
-            node[-1] = word
-        found: dict[bytes, tuple[int, ...]] = {}
-        ids, follows, ends = self.ids, self.follows, self.ends
-        if len(ends) > 500_000:
-            ends.clear()
-        path = bytearray()
-        last: list[int] = []  # the last token of each prefix of the path
-        size: list[int] = []  # and its length
-        stack: list[tuple[int, int, dict]] = [
-            (byte, 0, child) for byte, child in root.items() if byte >= 0
-        ]
-        while stack:
-            byte, depth, node = stack.pop()
-            del path[depth:], last[depth:], size[depth:]
-            path.append(byte)
-            depth += 1
-            # The token that ends here and may follow what is before it.
-            end = bytes(path[-END_BYTES:])
-            lengths = ends.get(end)
-            if lengths is None:
-                lengths = self._lengths(end)
-            for length in lengths:
-                start = depth - length
-                if start < 0:
-                    continue
-                token = ids.get(bytes(path[start:]))
-                if token is None:
-                    continue
-                if start:
-                    before = last[start - 1]
-                    fits = follows.get((before, token))
-                    if fits is None:
-                        fits = self.may_follow(before, token)
-                    if not fits:
-                        continue
-                elif depth > 1 and not self._is_own(token):
-                    continue
-                last.append(token)
-                size.append(depth - start)
-                break
-            for key, child in node.items():
-                if key >= 0:
-                    stack.append((key, depth, child))
-                else:
-                    out, at = [], depth
-                    while at:
-                        out.append(last[at - 1])
-                        at -= size[at - 1]
-                    found[child] = tuple(reversed(out))
-        return found
-
     def _is_own(self, token: int) -> bool:
         """Whether a token's bytes encode to the token itself."""
-        known = self.follows.get((-1, token))
+        known = self.own.get(token)
         if known is None:
             data = self.bytes[token]
             known = self.merged([self.ids[bytes([b])] for b in data]) == [token]
-            self.follows[-1, token] = known
+            self.own[token] = known
         return known
 
-    def _pieces(self, chunk: str) -> list[bytes]:
-        if BYTE_SIMPLE.fullmatch(chunk):
-            return [p.encode() for p in BYTE_SPLIT.findall(chunk)]
-        return [self.raw(shown) for shown, _ in self.splitter.pre_tokenize_str(chunk)]
+    def _step(self, node: int, byte: int) -> int:
+        """The node of the longest suffix, after one more byte, that begins a token."""
+        data = self.prefixes[node] + bytes([byte])
+        while data not in self.nodes:
+            data = data[1:]
+        if len(self.steps) > MEMORY_STEPS:
+            self.steps.clear()
+        self.steps[node << 8 | byte] = found = self.nodes[data]
+        return found
+
+    def _ends(self, node: int) -> tuple[int, ...]:
+        data = self.prefixes[node]
+        tokens = [self.ids.get(data[n:]) for n in range(len(data))]
+        self.ends[node] = found = tuple(t for t in tokens if t is not None and self._is_own(t))
+        return found
+
+    def encode_words(self, words: set[bytes]) -> dict[bytes, list[int]]:
+        """Encodings of distinct words, by a depth-first walk of their trie."""
+        found: dict[bytes, list[int]] = {}
+        follows, steps, ends, top = self.follows, self.steps, self.ends, self.top
+        size = self.sizes.tolist()
+        before = b""
+        # By length of the prefix: its node in the vocabulary's trie, and its last token,
+        # -1 if not known. Nothing is before the first token; ``top`` stands for it.
+        nodes, last = [0], [top]
+        for word in sorted(words):
+            depth = 0
+            for byte, other in zip(word, before, strict=False):
+                if byte != other:
+                    break
+                depth += 1
+            del nodes[depth + 1 :], last[depth + 1 :]
+            node = nodes[depth]
+            for byte in word[depth:]:
+                key = node << 8 | byte
+                node = steps.get(key)
+                if node is None:
+                    node = self._step(key >> 8, byte)
+                nodes.append(node)
+            last += [-1] * (len(word) - depth)
+            # Prefixes whose last tokens are asked for, the shortest on top.
+            asked = [len(word)]
+            while asked:
+                at = asked[-1]
+                tokens = ends[nodes[at]]
+                if tokens is None:
+                    tokens = self._ends(nodes[at])
+                # The token that ends here and may follow what is before it.
+                for token in tokens:
+                    left = last[at - size[token]]
+                    if left < 0:
+                        asked.append(at - size[token])
+                        break
+                    if left != top:
+                        fits = follows.get(left * top + token)
+                        if not (fits or fits is None and self.may_follow(left, token)):
+                            continue
+                    last[at] = token
+                    asked.pop()
+                    break
+            out, at = [], len(word)
+            while at:
+                token = last[at]
+                out.append(token)
+                at -= size[token]
+            out.reverse()
+            found[word] = out
+            before = word
+        return found
+
+    def _pieces(self, chunks: list[str]) -> dict[str, list[str]]:
+        """The words of each chunk."""
+        simple = BYTE_SIMPLE.fullmatch
+        # Where a chunk's only space is its first character and no white space follows
+        # it, the pattern splits chunks laid end to end as it splits each.
+        alone, several = {}, []
+        for chunk in chunks:
+            if not simple(chunk):
+                shown = self.splitter.pre_tokenize_str(chunk)
+                alone[chunk] = [self.raw(part).decode() for part, _ in shown]
+            elif chunk[0] == " " and not chunk.rfind(" ") and chunk[1:2] not in "\n\t":
+                several.append(chunk)
+            else:
+                alone[chunk] = BYTE_SPLIT.findall(chunk)
+        pieces = BYTE_SPLIT.findall("".join(several))
+        starts = [n for n, piece in enumerate(pieces) if piece[0] == " "]
+        starts.append(len(pieces))
+        for chunk, start, end in zip(several, starts[:-1], starts[1:], strict=True):
+            alone[chunk] = pieces[start:end]
+        return alone
 
     def chunks_of(self, text: str) -> list:
         """Parts of a text that encode alone; an added token is its number."""
@@ -255,9 +278,12 @@ class TrieEncoder:
             if part in self.added:
                 out.append(self.added[part])
             elif part:
-                words = BREAK.split(part) if ODD_SPACE.search(part) else part.split(" ")
-                out.append(words[0])
-                out += [" " + w for w in words[1:]]
+                if ODD_SPACE.search(part) or "\0" in part:
+                    words = BREAK.split(part)
+                    out.append(words[0])
+                    out += [" " + w for w in words[1:]]
+                else:
+                    out += part.replace(" ", "\0 ").split("\0")
         return out
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
@@ -269,20 +295,25 @@ class TrieEncoder:
         together once a chunk; new distinct words of the batch go into one trie."""
         split = [self.chunks_of(t) for t in texts]
         known, words = self.chunks.start(), self.words.start()
-        fresh = self.chunks.missing({c for chunks in split for c in chunks if c not in known})
-        pieces = {c: self._pieces(c) for c in fresh if isinstance(c, str)}
-        unknown = {p for ps in pieces.values() for p in ps if p not in words}
-        for word, numbers in self.encode_words(self.words.missing(unknown)).items():
-            words[word] = _listed(numbers)
+        fresh = self.chunks.missing(set().union(*split).difference(known))
+        pieces = self._pieces([c for c in fresh if isinstance(c, str) and c])
+        unknown = set().union(*pieces.values()).difference(words)
+        new = {p.encode(): p for p in self.words.missing(unknown)}
+        for word, numbers in self.encode_words(new.keys()).items():
+            words[new[word]] = numbers
         for chunk in fresh:
-            if chunk in pieces:
-                parts = [words[p] for p in pieces[chunk]]
-                known[chunk] = parts[0] if len(parts) == 1 else _joined(parts)
-            else:
-                known[chunk] = _listed((chunk,))
+            if isinstance(chunk, int):
+                known[chunk] = self.listed[chunk]
+                continue
+            parts = pieces.get(chunk, ())
+            numbers = words[parts[0]] if len(parts) == 1 else [n for p in parts for n in words[p]]
+            known[chunk] = self.listed[numbers[0]] if len(numbers) == 1 else (
+                b"".join([self.as_bytes[n] for n in numbers]),
+                b"".join([self.as_decimal[n] for n in numbers]),
+            )
         for chunks in split:
-            ids, listed = _joined([known[c] for c in chunks])
-            yield np.frombuffer(ids, np.uint32), listed[:-1]
+            ids, listed = zip(*[known[c] for c in chunks], strict=True) if chunks else ((), ())
+            yield np.frombuffer(b"".join(ids), np.uint32), b"".join(listed)[:-1]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are not UTF-8 become replacement characters."""
@@ -300,6 +331,8 @@ def trie_encoder(path: str) -> TrieEncoder:
     """The encoder of a file; made once per worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = TrieEncoder(path)
+        # Encoding makes many short-lived lists and no cycles: look for cycles less often.
+        gc.set_threshold(200_000, 20, 20)
     return _ENCODERS[path]
 
 

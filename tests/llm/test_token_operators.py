@@ -283,3 +283,25 @@ def test_decimals_of_ids_come_with_them():
     ):
         assert listed.decode() == ",".join(map(str, again.tolist()))
         assert ids.tolist() == again.tolist()
+
+
+def test_trie_asks_only_for_last_tokens_a_word_needs():
+    tool = trie_bpe.TrieEncoder(BYTE_TOKENIZER)
+    whole = max((t for t, n in tool.ids.items() if t.isalpha() and tool._is_own(n)), key=len)
+    assert len(whole) > 5
+    assert list(tool.encode_words({whole})[whole]) == [tool.ids[whole]]
+    assert not tool.follows  # before, every prefix asked whether tokens may follow each other
+    # Words that share a prefix, and a prefix that is a word itself.
+    words = {whole, whole + b"zq", whole + b"zqzq", whole[:4], b"\0", b"\0\0", b"a\0b" * 40}
+    for word, ids in tool.encode_words(words).items():
+        assert list(ids) == tool.merged([tool.ids[bytes([b])] for b in word])
+
+
+def test_trie_chunks_of_random_texts_equal_the_library():
+    library, ours = Tokenizer.from_file(BYTE_TOKENIZER), trie_bpe.TrieEncoder(BYTE_TOKENIZER)
+    random = np.random.default_rng(7)
+    parts = [" ", " ", " ", "\n", "\t", "a", "the", "ing", "'s", "'", "é", "12", "\0", "-", "中", " ", "\x1c", "<|endoftext|>"]
+    texts = ["".join(random.choice(parts, random.integers(0, 40))) for _ in range(1500)]
+    for some in (texts[:1000], texts[900:]):  # some texts again, their chunks are known then
+        for text, ids in zip(some, ours.encode_batch(some), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
