@@ -2,9 +2,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from registry.queries import Tables
 from scorecard.operators.nesting import ordered_array
 from scorecard.plans.metrics import policy_metrics
-from scorecard.plans.policy import current_scd2, latest_transaction, monthly_history
+from scorecard.plans.policy import current_scd2, latest_transaction, monthly_history, open_history
 from tests.frames import by_key, entities, frame, snap, spine, stat, txn
 
 AS_OF = date(2026, 1, 1)
@@ -136,3 +137,40 @@ def test_snapshots_are_ordered_by_compiled_code(spark):
     nested = rows.groupBy("k").agg(ordered_array([F.col("n")], F.col("v")).alias("vs"))
     assert "lambda" not in nested._jdf.queryExecution().optimizedPlan().toString()
     assert nested.first()["vs"] == ["c", "a", "b", "z"]
+
+
+def test_open_history_takes_the_place_of_history(spark):
+    stats = frame(
+        spark,
+        "policy_stats",
+        [
+            stat("P", "2025-01-01T00:00:00", src="OLDER"),
+            stat("P", "2025-02-01T00:00:00", src="NEWER"),
+            stat("Q", "2025-03-01T00:00:00", src="CLOSED", end="2025-04-01T00:00:00"),
+            stat("R", "2025-03-01T00:00:00", src="TWICE"),
+            stat("R", "2025-03-01T00:00:00", src="TWICE"),
+        ],
+    )
+    once = open_history(stats)
+    assert set(once.columns) == set(stats.columns)
+    got = sorted(current_scd2(once).collect())
+    assert got == sorted(current_scd2(stats).collect())
+    assert [r["src_sys"] for r in got] == ["NEWER", "TWICE"]
+
+
+def test_policies_and_events_share_spine_and_open_history(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, "C", 7, 10.0, "BUILDING")], "c_custkey long, c_name string, "
+        "c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    orders = [(n, 1, "F", 1.0, f"2000-0{n}-01 00:00:00", f"{n}-X") for n in (1, 2, 3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, "
+        "o_totalprice double, o_orderdate string, o_orderpriority string").withColumn(
+        "o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{folder}/orders.parquet")
+    tables = Tables(spark, folder)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    # The window that makes the history of the test tables is run once, for both.
+    assert "next_tmsp" in plan(tables.sources.policy_stats())
+    for entity in (tables.new_policy(), tables.new_events()):
+        assert "next_tmsp" not in plan(entity)
+    assert tables.new_policy().count() == 1
+    assert tables.new_events().where("ChangeEvent.EventType = 'ZIP_CHANGE'").count() == 2

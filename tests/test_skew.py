@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from scorecard.operators import skew
 from scorecard.operators.latest import latest_per_key
 from scorecard.operators.neighbours import with_neighbour
 from scorecard.operators.skew import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup_join
@@ -119,3 +120,17 @@ def test_more_hot_keys_than_any_fixed_limit(spark):
         assert len(find_hot_keys(df, "k").shares) == 1500
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_sketch_of_many_keys_is_small_and_exact_enough(spark, monkeypatch):
+    asked, plain = [], skew.F.expr
+    monkeypatch.setattr(skew.F, "expr", lambda text: asked.append(text) or plain(text))
+    # A third of the rows, above one of four fair shares; the others come once.
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    found = find_hot_keys(rows, "k", factor=1)
+    assert set(found.shares) == {"hot"}
+    assert abs(found.shares["hot"] - 1 / 3) < 0.001
+    counters = [int(text.rstrip(")").split(",")[-1]) for text in asked]
+    assert counters and max(counters) <= 10_000
