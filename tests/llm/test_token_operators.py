@@ -33,6 +33,46 @@ def test_word_encoder_equals_the_library(path, folder, spark):
         assert np.frombuffer(ours.encode(text), np.uint32).tolist() == want
 
 
+@pytest.mark.parametrize("portion", [1, 9, 1 << 21])
+def test_word_batches_equal_the_library(portion, monkeypatch):
+    monkeypatch.setattr(bpe, "PORTION", portion)
+    library, ours = Tokenizer.from_file(WORD_TOKENIZER), bpe.WordEncoder(WORD_TOKENIZER, 3000)
+    rng = random.Random(portion)
+    signs = [*"''''stmdrevlSTL  \n\t\x0b\x1c\x00\x85\xa0azA9.<|>ÀÞßÿ×÷ªÅ²İΣſ中é\u0301😀", "<|endoftext|>", "<|ENDOFTEXT|>", "'ll"]
+    for _ in range(60):
+        some = signs if rng.random() < 0.5 else rng.sample(signs, 6)
+        texts = ["".join(rng.choices(some, k=rng.randint(0, 50))) for _ in range(rng.randint(0, 8))]
+        want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+        assert [np.frombuffer(ids, np.uint32).tolist() for ids in ours.encode_batch(texts)] == want
+
+
+def test_word_pieces_are_merged_once(monkeypatch):
+    ours, merged = bpe.WordEncoder(WORD_TOKENIZER), []
+    tokenize = ours.model.tokenize
+
+    class Model:
+        def tokenize(self, piece):
+            merged.append(piece)
+            return tokenize(piece)
+
+    monkeypatch.setattr(ours, "model", Model())
+    list(ours.encode_batch(["zebra, lion.", "Zebra! (lion)"]))
+    list(ours.encode_batch(["LION's zebra. lion,"]))
+    assert sorted(merged) == sorted({*merged})
+    assert {"zebra", "lion", "'s"} <= {*merged}
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    monkeypatch.setattr(bpe, "PORTION", 100)
+    ours, sizes = bpe.WordEncoder(WORD_TOKENIZER), []
+    split = ours._split
+    monkeypatch.setattr(ours, "_split", lambda texts: sizes.append(sum(map(len, texts))) or split(texts))
+    text = "Some words, and\nmore. " * 100
+    want = Tokenizer.from_file(WORD_TOKENIZER).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ours.encode(text), np.uint32).tolist() == want
+    assert max(sizes) < 110 and sum(sizes) == len(text)
+
+
 def test_trie_encoder_equals_the_library(folder, spark):
     library, ours = Tokenizer.from_file(BYTE_TOKENIZER), trie_bpe.TrieEncoder(BYTE_TOKENIZER)
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("text").collect()
