@@ -38,7 +38,7 @@ def test_word_batches_equal_the_library(portion, monkeypatch):
     monkeypatch.setattr(bpe, "PORTION", portion)
     library, ours = Tokenizer.from_file(WORD_TOKENIZER), bpe.WordEncoder(WORD_TOKENIZER, 3000)
     rng = random.Random(portion)
-    signs = [*"''''stmdrevlSTL  \n\t\x0b\x1c\x00\x85\xa0azA9.<|>ÀÞßÿ×÷ªÅ²İΣſ中é\u0301😀", "<|endoftext|>", "<|ENDOFTEXT|>", "'ll"]
+    signs = [*"''''stmdrevlSTL  \n\t\x0b\x1c\x00\x85\xa0azA9.<|>\u2028　ÀÞßÿ×÷ªÅ²İΣſ中é\u0301😀", "<|endoftext|>", "<|ENDOFTEXT|>", "'ll"]
     for _ in range(60):
         some = signs if rng.random() < 0.5 else rng.sample(signs, 6)
         texts = ["".join(rng.choices(some, k=rng.randint(0, 50))) for _ in range(rng.randint(0, 8))]
@@ -62,6 +62,15 @@ def test_word_pieces_are_merged_once(monkeypatch):
     assert {"zebra", "lion", "'s"} <= {*merged}
 
 
+def test_white_space_of_any_kind_parts_words():
+    ours = bpe.WordEncoder(WORD_TOKENIZER)
+    spaces = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f　"
+    text = "".join(f"Cat{space}字" for space in spaces)
+    want = Tokenizer.from_file(WORD_TOKENIZER).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ours.encode(text), np.uint32).tolist() == want
+    assert {*ours.later.now} == {b"cat", " 字Cat".encode(), " 字".encode()}
+
+
 def test_long_texts_are_encoded_in_parts(monkeypatch):
     monkeypatch.setattr(bpe, "PORTION", 100)
     ours, sizes = bpe.WordEncoder(WORD_TOKENIZER), []
